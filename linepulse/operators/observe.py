@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegralType, NumericType
 
 from linepulse.fixed import TS
 
@@ -14,50 +14,46 @@ from linepulse.fixed import TS
 
 
 def profile_metrics(
-    df: DataFrame,
-    ts_col: str,
-    columns: Sequence[str],
-    window: str = "1 day",
-    exact: bool = False,
+    df: DataFrame, ts_col: str, columns: Sequence[str], window: str = "1 day"
 ) -> DataFrame:
-    """Metrics of each column per time window.
+    """Metrics of each column per time window: rows, nulls, distinct values, extremes, mean.
 
-    One aggregation makes all metrics of a window, then its row is turned into
-    one row per column. Distinct values are estimated by default (one pass, fixed
-    memory); ``exact`` counts them, at the price of one more copy of each row per
-    column in the shuffle. Means are given for numbers only.
+    Each row is turned into one cell per column, and equal cells of a window are
+    counted first, within tasks and then across them. What is left are distinct
+    values, however many rows a value or a window has. Extremes of numbers go by
+    size, those of other types by text; only numbers have a mean.
     """
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    metrics = []
-    for c in columns:
-        mean = F.avg(c) if c in numeric else F.lit(None).cast("double")
-        metrics += [
-            F.count(c).alias(f"n_{c}"),
-            distinct(F.col(c)).alias(f"d_{c}"),
-            F.min(c).cast("string").alias(f"min_{c}"),
-            F.max(c).cast("string").alias(f"max_{c}"),
-            mean.alias(f"mean_{c}") if c in numeric else F.first(mean).alias(f"mean_{c}"),
-        ]
-    per_window = (
-        df.groupBy(F.window(F.col(ts_col).cast(TS), window).alias("w"))
-        .agg(F.count(F.lit(1)).alias("rows"), *metrics)
+    cells = df.select(
+        F.window(F.col(ts_col).cast(TS), window)["start"].alias("window_start"),
+        F.inline(F.array(*[_cell(df, c) for c in columns])),
     )
-    per_column = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                (F.col("rows") - F.col(f"n_{c}")).alias("nulls"),
-                F.col(f"d_{c}").alias("distinct_values"),
-                F.col(f"min_{c}").alias("min_value"),
-                F.col(f"max_{c}").alias("max_value"),
-                F.col(f"mean_{c}").alias("mean_value"),
-            )
-            for c in columns
-        ]
+    values = cells.groupBy("window_start", "column_name", "value", "whole", "real").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    return per_window.select(
-        F.col("w.start").alias("window_start"), "rows", F.inline(per_column)
+    ranked = F.when(F.col("value").isNotNull(), F.struct("whole", "real", "value"))
+    numbers = F.sum(F.when(F.col("real").isNotNull(), F.col("n")))
+    return (
+        values.groupBy("window_start", "column_name")
+        .agg(
+            F.sum("n").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("value").alias("distinct_values"),
+            F.min(ranked)["value"].alias("min_value"),
+            F.max(ranked)["value"].alias("max_value"),
+            F.try_divide(F.sum(F.col("real") * F.col("n")), numbers).alias("mean_value"),
+        )
+    )
+
+
+def _cell(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    whole = F.col(column) if isinstance(kind, IntegralType) else F.lit(None)
+    real = F.col(column) if isinstance(kind, NumericType) else F.lit(None)
+    return F.struct(
+        F.lit(column).alias("column_name"),
+        F.col(column).cast("string").alias("value"),
+        whole.cast("long").alias("whole"),
+        real.cast("double").alias("real"),
     )
 
 

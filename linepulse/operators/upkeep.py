@@ -9,10 +9,13 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions.temporal import moment, sla_interval
+from linepulse.scratch import stage
+from linepulse.sources.catalog import overwrite
+from linepulse.tables import TableSpec
 
 
 def kept(df: DataFrame, now: dt.datetime | str | Column) -> DataFrame:
@@ -26,6 +29,11 @@ def expired(df: DataFrame, now: dt.datetime | str | Column) -> DataFrame:
     return df.filter(F.col("_delete_at") <= moment(now))
 
 
+def purge(spark: SparkSession, table: str, spec: TableSpec, now: dt.datetime | str) -> None:
+    """Remove expired rows from a table; what stays is written aside before the swap."""
+    overwrite(stage(kept(spark.table(table), now), f"kept-{spec.name}"), table, spec)
+
+
 def freshness(
     tables: Mapping[str, tuple[DataFrame, str]], now: dt.datetime | str | Column
 ) -> DataFrame:

@@ -319,9 +319,8 @@ def lookup_line_status(spark, sf_dir):
     mapping = stage(adapter.station_lines(spark, sf_dir, rows), "station-lines")
     pairs = feed.station_pairs(mapping)
     newest = keyed.scd1(rows, ["line_id"], ["_updated_at", "row_id"])
-    row = F.struct(*[c for c in newest.columns if c != "row_id"])
-    records = newest.withColumn("row", row).select(
-        "line_id", F.from_json(json_text(adapter.line_record("row")), LINE_RECORD).alias("record")
+    records = newest.withColumn("row", adapter.as_struct(newest)).select(
+        "line_id", F.from_json(json_text(adapter.line_record()), LINE_RECORD).alias("record")
     )
     fields = line_fields(F.col("record"), F.col("line_id"))
     return pairs.join(records, "line_id", "left").select(
@@ -482,9 +481,8 @@ def fn_json_write(spark, sf_dir):
 def fn_json_navigate(spark, sf_dir):
     """Each status row written as a feed record, then read back field by field."""
     rows = status(spark, sf_dir)
-    row = F.struct(*[c for c in rows.columns if c != "row_id"])
-    text = rows.withColumn("row", row).select(
-        "row_id", "line_id", json_text(adapter.line_record("row")).alias("text")
+    text = rows.withColumn("row", adapter.as_struct(rows)).select(
+        "row_id", "line_id", json_text(adapter.line_record()).alias("text")
     )
     parsed = text.withColumn("record", F.from_json("text", LINE_RECORD))
     fields = line_fields(F.col("record"), F.col("line_id"))
@@ -745,7 +743,7 @@ PROFILED = ["home_station", "line_id", "status_severity", "age", "disruption_rea
 @query
 def profile_metrics(spark, sf_dir):
     return observe.profile_metrics(
-        all_journeys(spark, sf_dir), "_updated_at", PROFILED, exact=True
+        all_journeys(spark, sf_dir), "_updated_at", PROFILED
     )
 
 
@@ -755,7 +753,6 @@ def profile_metrics_summary(spark, sf_dir):
         summary(spark, sf_dir),
         "disruption_date",
         ["line_id", "affected_customers", "affected_stations"],
-        exact=True,
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions.payload import json_text
+from linepulse.operators.upsert import scd1
 
 AS_OF = "2024-02-01"
 NOW = "2024-02-01 00:00:00"
@@ -86,9 +87,13 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_status(table(spark, sf_dir, "events"))
 
 
-def line_record(first: str = "first") -> Column:
-    """A status row, held in the struct column ``first``, as a record of the feed."""
-    s = F.col(first)
+def as_struct(status_rows: DataFrame) -> Column:
+    return F.struct(*[c for c in status_rows.columns if c != "row_id"])
+
+
+def line_record(row: str = "row") -> Column:
+    """A status row, held in the struct column ``row``, as a record of the feed."""
+    s = F.col(row)
     stop = F.struct(F.lit(None).cast("string").alias("commonName"), s["station_name"].alias("name"))
     disruption = F.struct(
         s["disruption_description"].alias("description"), F.array(stop).alias("affectedStops")
@@ -109,13 +114,12 @@ def line_record(first: str = "first") -> Column:
 
 def feed(status_rows: DataFrame) -> DataFrame:
     """A feed document per hour, holding the latest status of each line in that hour."""
-    columns = [
-        "line_id", "line_name", "station_name", "status_severity", "status_severity_description",
-        "disruption_reason", "disruption_description",
-    ]
-    newest = status_rows.groupBy(
-        F.date_trunc("hour", F.col("_updated_at")).cast("timestamp_ntz").alias("run_ts"), "line_id"
-    ).agg(F.max_by(F.struct(*columns), F.struct("_updated_at", "row_id")).alias("first"))
+    hourly = status_rows.withColumn(
+        "run_ts", F.date_trunc("hour", "_updated_at").cast("timestamp_ntz")
+    )
+    newest = scd1(hourly, ["run_ts", "line_id"], ["_updated_at", "row_id"]).select(
+        "run_ts", as_struct(status_rows).alias("row")
+    )
     return (
         newest.groupBy("run_ts")
         .agg(F.sort_array(F.collect_list(line_record())).alias("lines"))

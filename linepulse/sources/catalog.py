@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions.payload import json_text
@@ -38,8 +38,9 @@ def ensure_table(
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at}")
     table = f"{schema}.{spec.name}"
     columns = ", ".join(f"`{n}` {t} COMMENT {_text(c)}" for n, t, c in spec.columns)
+    layout = f"CLUSTER BY ({', '.join(spec.cluster_by)}) " if spec.cluster_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout}"
         f"COMMENT {_text(spec.comment)} TBLPROPERTIES ({_props(spec.properties)})"
     )
     return table
@@ -53,18 +54,24 @@ def table_properties(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW TBLPROPERTIES {table}")
 
 
-def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Sort each task's rows by the layout columns: narrow row groups, no shuffle."""
-    return df.sortWithinPartitions(*spec.cluster_by) if spec.cluster_by else df
+def _writer(df: DataFrame, spec: TableSpec) -> DataFrameWriter:
+    """Rows conform to the table; each task sorts its own by the layout columns.
+
+    That makes row groups narrow in these columns without a shuffle.
+    """
+    rows = conform(df, spec)
+    if not spec.cluster_by:
+        return rows.write
+    return rows.sortWithinPartitions(*spec.cluster_by).write.clusterBy(*spec.cluster_by)
 
 
 def append(df: DataFrame, table: str, spec: TableSpec) -> None:
     """Append a batch and re-apply the table's properties."""
-    _laid_out(conform(df, spec), spec).write.mode("append").saveAsTable(table)
+    _writer(df, spec).mode("append").saveAsTable(table)
     set_properties(df.sparkSession, table, spec.properties)
 
 
 def overwrite(df: DataFrame, table: str, spec: TableSpec) -> None:
     """Replace rows and schema; the write drops properties, so they are applied again."""
-    _laid_out(conform(df, spec), spec).write.mode("overwrite").saveAsTable(table)
+    _writer(df, spec).mode("overwrite").saveAsTable(table)
     set_properties(df.sparkSession, table, spec.properties)

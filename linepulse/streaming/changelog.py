@@ -43,9 +43,12 @@ def upsert_stream(
     )
 
 
+def _with_batch(schema: StructType) -> StructType:
+    return StructType([*schema.fields]).add(BATCH, "long")
+
+
 def read_log(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    with_batch = StructType(schema.fields).add(BATCH, "long")
-    return spark.read.schema(with_batch).parquet(log_path(root))
+    return spark.read.schema(_with_batch(schema)).parquet(log_path(root))
 
 
 def stream_log(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
@@ -54,9 +57,8 @@ def stream_log(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     A batch that was run again replaces its files, so a listed file may be gone;
     its rows come with the new file.
     """
-    with_batch = StructType(schema.fields).add(BATCH, "long")
     return (
-        spark.readStream.schema(with_batch)
+        spark.readStream.schema(_with_batch(schema))
         .option("ignoreMissingFiles", "true")
         .parquet(log_path(root))
         .drop(BATCH)
