@@ -37,8 +37,10 @@ STATUS_COLUMNS = [
     "disruption_reason", "disruption_description", "affected_stops_json",
 ]
 
-# A row of the status side is a few hundred bytes, so this many are tens of MB.
-BROADCAST_ROWS = 200_000
+# The status side is broadcast up to this size, measured on its rows.
+BROADCAST_BYTES = 256 * 1024 * 1024
+# Timestamps, numbers and overhead of a row, next to its text.
+ROW_BYTES = 128
 SALTS = 64
 
 
@@ -77,19 +79,28 @@ def latest_status(status: DataFrame) -> DataFrame:
     return scd1(with_row_id(status), ["station_name", "line_id"], ["_updated_at", "row_id"])
 
 
+def _row_bytes(df: DataFrame) -> int:
+    """About how large the rows of ``df`` are in memory; an exact sum over all of them."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    row = F.lit(ROW_BYTES)
+    for c in texts:
+        row = row + F.coalesce(F.octet_length(c), F.lit(0))
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
 def join_profiles_status(profiles: DataFrame, status: DataFrame) -> DataFrame:
     """Every customer of a station with every status row of that station.
 
     Pass status rows reduced by ``latest_status`` and staged: the result is then
-    one row per customer and line, and counting the status side is cheap. That
-    side is broadcast if it has at most ``BROADCAST_ROWS`` rows. Beyond that the
-    join shuffles, with the customers of a station spread over ``SALTS`` tasks
-    and the station's few status rows repeated for each.
+    one row per customer and line, and measuring the status side is cheap. That
+    side is broadcast up to ``BROADCAST_BYTES``. Beyond that the join shuffles,
+    with the customers of a station spread over ``SALTS`` tasks and the station's
+    status rows repeated for each.
     """
     profiles = profiles.alias("p")
     status = with_row_id(status)
     on_station = F.col("p.home_station") == F.col("s.station_name")
-    if status.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if _row_bytes(status) <= BROADCAST_BYTES:
         joined = profiles.join(F.broadcast(status.alias("s")), on_station)
     else:
         salt = F.pmod(F.xxhash64("customer_id"), F.lit(SALTS)).cast("int")

@@ -1,39 +1,68 @@
-"""Bronze to gold as one batch: each stage writes its table, the next one reads it."""
+"""The batch jobs, bronze to gold: each writes its table, the next one reads it."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linepulse.fixed import JOURNEY_TAGS, RETENTION_DAYS, TARGET_TAGS
 from linepulse.operators.gold import disruption_summary, notification_targets
 from linepulse.operators.governance import tag_columns
-from linepulse.operators.journeys import customer_journeys
-from linepulse.fixed import JOURNEY_TAGS, TARGET_TAGS
+from linepulse.operators.journeys import PROFILE_COLUMNS, customer_journeys
+from linepulse.sources.catalog import append, ensure_table, overwrite, with_raw
+from linepulse.sources.feed import flatten_status, stamp
+from linepulse.tables import (
+    CUSTOMER_JOURNEYS,
+    CUSTOMER_PROFILES,
+    DISRUPTION_SUMMARY,
+    LINE_STATUS,
+    NOTIFICATION_TARGETS,
+    TableSpec,
+)
+
+
+def ingest_status(
+    raw: DataFrame, station_lines: DataFrame, schema: str, location: str | None = None
+) -> DataFrame:
+    """Append the runs of a feed to bronze; ``raw`` holds ``(run_ts, payload)``."""
+    spark = raw.sparkSession
+    table = ensure_table(spark, LINE_STATUS, schema, location)
+    append(flatten_status(raw, station_lines), table, LINE_STATUS)
+    return spark.table(table)
+
+
+def replace_profiles(people: DataFrame, schema: str, location: str | None = None) -> DataFrame:
+    """Replace the profiles in bronze; ``people`` holds them as received, and ``run_ts``."""
+    spark = people.sparkSession
+    table = ensure_table(spark, CUSTOMER_PROFILES, schema, location)
+    received = [*PROFILE_COLUMNS, "customer_notes"]
+    rows = stamp(with_raw(people, received), RETENTION_DAYS["profile"], at="run_ts")
+    overwrite(rows, table, CUSTOMER_PROFILES)
+    return spark.table(table)
 
 
 def refresh(
-    spark: SparkSession,
     profiles: DataFrame,
     status: DataFrame,
-    out_dir: str,
+    schema: str,
     as_of: dt.date | str,
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Rebuild silver and gold below ``out_dir`` and return the written tables."""
+    """Rebuild silver and gold from bronze and return the tables by name."""
+    spark: SparkSession = profiles.sparkSession
 
-    def written(df: DataFrame, name: str) -> DataFrame:
-        path = f"{out_dir}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    def rebuilt(df: DataFrame, spec: TableSpec, tags: Mapping[str, str]) -> DataFrame:
+        table = ensure_table(spark, spec, schema, location)
+        overwrite(tag_columns(df, tags), table, spec)
+        return spark.table(table)
 
-    journeys = written(
-        tag_columns(customer_journeys(profiles, status, as_of), JOURNEY_TAGS), "customer_journeys"
-    )
+    journeys = rebuilt(customer_journeys(profiles, status, as_of), CUSTOMER_JOURNEYS, JOURNEY_TAGS)
+    summary = rebuilt(disruption_summary(journeys, as_of), DISRUPTION_SUMMARY, {})
+    targets = rebuilt(notification_targets(journeys, as_of), NOTIFICATION_TARGETS, TARGET_TAGS)
     return {
-        "customer_journeys": journeys,
-        "disruption_summary": written(disruption_summary(journeys, as_of), "disruption_summary"),
-        "notification_targets": written(
-            tag_columns(notification_targets(journeys, as_of), TARGET_TAGS),
-            "notification_targets",
-        ),
+        CUSTOMER_JOURNEYS.name: journeys,
+        DISRUPTION_SUMMARY.name: summary,
+        NOTIFICATION_TARGETS.name: targets,
     }

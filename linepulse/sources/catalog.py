@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions.payload import json_text
@@ -10,8 +10,16 @@ from linepulse.tables import TableSpec
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The columns of ``spec`` in order and type; text that does not parse becomes NULL."""
-    return df.select([F.col(name).try_cast(kind).alias(name) for name, kind, _ in spec.columns])
+    """The columns of ``spec`` in order and type, with their comments and the tags of ``df``.
+
+    Text that does not parse becomes NULL.
+    """
+
+    def typed(name: str, kind: str, comment: str) -> Column:
+        kept = dict(df.schema[name].metadata or {})
+        return F.col(name).try_cast(kind).alias(name, metadata={**kept, "comment": comment})
+
+    return df.select([typed(*column) for column in spec.columns])
 
 
 def with_raw(df: DataFrame, columns: list[str]) -> DataFrame:

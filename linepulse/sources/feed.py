@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.fixed import RETENTION_DAYS
+from linepulse.fixed import RETENTION_DAYS, TS
 from linepulse.functions.payload import LINE_RECORD, line_fields
 from linepulse.functions.temporal import plus_days
 from linepulse.tables import LINE_STATUS
 
 
+def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed feed documents, one per file, with the time they were written as the run."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_modification_time").cast(TS).alias("run_ts"),
+        F.col("value").alias("payload"),
+    )
+
+
 def station_pairs(station_lines: DataFrame) -> DataFrame:
     """``(station_name, line_ids)`` as one row per station and line."""
     return station_lines.select("station_name", F.explode("line_ids").alias("line_id"))

@@ -58,7 +58,7 @@ def test_salted_join_equals_broadcast_join(people, status, monkeypatch):
         F.when(F.col("customer_id").cast("long") % 3 == 0, "Station 1").otherwise(F.col("home_station")),
     )
     wanted = rows(J.customer_journeys(hot, status, AS_OF))
-    monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
     salted = J.customer_journeys(hot, status, AS_OF)
     assert "_salt" not in salted.columns and "salt" not in salted.columns
     assert rows(salted) == wanted

@@ -1,6 +1,7 @@
 """Tables in the catalog, snapshots, retention, freshness."""
 
 import datetime as dt
+import json
 import uuid
 
 import pytest
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 from linepulse.functions.temporal import age_years, retention_days, sla_interval
 from linepulse.operators import upkeep
-from linepulse.plans.medallion import refresh
-from linepulse.plans.registry import bronze_status
 from linepulse.operators.governance import tags_of
-from linepulse.sources import adapter, catalog, snapshots
+from linepulse.operators.journeys import customer_journeys
+from linepulse.plans import medallion
+from linepulse.plans.registry import bronze_status
+from linepulse.sources import adapter, catalog, feed, snapshots
+from linepulse.streaming import flows
 from linepulse.tables import ALL_TABLES, LINE_STATUS
 
 NOW = "2024-06-01 12:00:00"
@@ -108,12 +111,50 @@ def test_age_turns_on_the_birthday(spark):
     assert [r[0] for r in df.select(age_years(F.col("b"), "2024-02-01")).collect()] == [34, 33, 31]
 
 
-def test_refresh_writes_tagged_tables(spark, tmp_path):
-    out = refresh(spark, adapter.profiles(spark, SF), adapter.status(spark, SF), str(tmp_path), adapter.AS_OF)
-    assert tags_of(out["customer_journeys"])["email"] == "class.email_address"
-    assert tags_of(out["notification_targets"]) == {
-        "full_name": "class.name", "email": "class.email_address"
-    }
-    assert {name: df.count() for name, df in out.items()} == {
-        "customer_journeys": 395, "disruption_summary": 198, "notification_targets": 395
-    }
+def test_batch_from_landed_feed_to_gold(spark, schema, tmp_path):
+    """Documents in files, through every table, twice."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    bad = [{"id": "red", "name": "Red", "lineStatuses": [{"statusSeverity": 3, "reason": "snow"}]}]
+    (landing / "1.json").write_text(json.dumps(bad))
+    mapping = spark.createDataFrame(
+        [("North", ["red", "blue"]), ("South", ["red"])], "station_name string, line_ids array<string>"
+    )
+    people = spark.createDataFrame(
+        [
+            ("1", "Ann", "ann@b.co", dt.date(1990, 1, 1), "07000", "AB1 2CD", "9", "North", "", at(NOW)),
+            ("2", "Bo", "bo@b", dt.date(1990, 1, 1), "07001", "AB1 2CD", "8", "South", "", at(NOW)),
+        ],
+        "customer_id string, full_name string, email string, date_of_birth date, "
+        "telephone_number string, home_postcode string, card_id string, home_station string, "
+        "customer_notes string, run_ts timestamp_ntz",
+    )
+    for run in (1, 2):
+        status = medallion.ingest_status(feed.read_feed(spark, str(landing)), mapping, *schema)
+        assert status.count() == 3 * run
+        bronze = medallion.replace_profiles(people, *schema)
+        assert json.loads(bronze.filter("customer_id = '1'").first().raw_payload)["email"] == "ann@b.co"
+        out = medallion.refresh(bronze, status, schema[0], "2024-06-01", schema[1])
+    journeys = out["customer_journeys"]
+    assert tags_of(journeys)["email"] == "class.email_address"
+    assert set(tags_of(out["notification_targets"])) == {"full_name", "email"}
+    found = journeys.select("customer_id", "line_id", "status_severity", "disruption_reason")
+    assert rows(found) == rows(
+        spark.createDataFrame([("1", "red", 3, "snow"), ("1", "blue", -1, "")], found.schema)
+    )
+    assert out["disruption_summary"].count() == out["notification_targets"].count() == 2
+    table = f"{schema[0]}.customer_journeys"
+    assert props(spark, table)["platform.freshness_sla"] == "1d"
+    comments = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {table}").collect()}
+    assert comments["age"] == "Whole years"
+
+
+def test_bronze_table_as_a_stream(spark, schema, tmp_path):
+    table = catalog.ensure_table(spark, LINE_STATUS, *schema)
+    status = bronze_status(spark, SF)
+    catalog.append(status, table, LINE_STATUS)
+    people, root = adapter.profiles(spark, SF), str(tmp_path / "silver")
+    stream = spark.readStream.table(table)
+    flows.stream_journeys(stream, lambda: people, root, adapter.AS_OF).awaitTermination()
+    wanted = customer_journeys(people, status, adapter.AS_OF)
+    assert rows(flows.current_journeys(spark, root)) == rows(wanted)
