@@ -28,7 +28,10 @@ def log_path(root: str) -> str:
 def upsert_stream(
     source: DataFrame, root: str, rows_of: Callable[[DataFrame], DataFrame]
 ) -> StreamingQuery:
-    """Start a stream that writes ``rows_of(batch)`` to the log and ends when caught up."""
+    """Start a stream that writes ``rows_of(batch)`` to the log and ends when caught up.
+
+    ``rows_of`` should return each key once, which keeps the log short.
+    """
 
     _mark(source.sparkSession, root, -1, "ignore")
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from linepulse.fixed import TS
 from linepulse.operators.gold import notification_targets
 from linepulse.operators.journeys import KEYS, SEQUENCE, journey_versions, table_rows
+from linepulse.operators.upsert import scd1
 from linepulse.streaming.changelog import current_rows, fold, stream_log, upsert_stream
 from linepulse.tables import CUSTOMER_JOURNEYS, NOTIFICATION_TARGETS, TableSpec
 
@@ -58,12 +59,15 @@ def stream_journeys(
 def stream_notifications(
     spark: SparkSession, journeys_root: str, root: str, as_of: dt.date | str
 ) -> StreamingQuery:
-    """Upsert notification targets from the rows that the journeys stream upserted."""
+    """Upsert notification targets from the rows that the journeys stream upserted.
+
+    A batch here may span several of that stream, so it is reduced to one row per key.
+    """
     order = ["_status_updated_at", "_status_row"]
 
     def rows_of(batch: DataFrame) -> DataFrame:
-        narrow = notification_targets(batch, as_of, extra=order)
-        return narrow.select(TARGETS.names)
+        narrow = notification_targets(batch, as_of, extra=order).select(TARGETS.names)
+        return scd1(narrow, KEYS, SEQUENCE)
 
     return upsert_stream(stream_log(spark, journeys_root, JOURNEYS), root, rows_of)
 
