@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _folder_of_this_machine() -> str:
+    return tempfile.mkdtemp(prefix="linepulse-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -18,9 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         return root
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="linepulse-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _folder_of_this_machine()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
