@@ -16,11 +16,13 @@ of its own and then renamed, so a repeated task leaves one whole file.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,20 +41,60 @@ LEVEL = 3
 _SKIPPABLE = 0x184D2A5E
 _PLACES = 0x184D2A50
 _SEEKABLE = 0x8F92EAB1
-_CACHED = 1_000_000
+#: Pieces of texts that are kept with their ids, twice; and texts that are taken apart at a time.
+_CACHED = 250_000
+_TEXTS = 128
 #: A blank before white space, where a text may not be taken apart.
 _UNSURE = re.compile(r" (?:\s|\Z)|\x00")
+#: Letters that every version of Unicode calls so, and pieces of those, digits and ASCII signs.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(rf"[\t\n\r\x20-\x7e{_LETTERS}]*")
+#: The usual pattern of byte-level tokenizers, over those.
+_SPLIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+#: Byte-level vocabularies write printable bytes of Latin-1 as they are, the others from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK = chr(_BYTE_LETTERS[32])
 MANIFEST = "file string, part int, docs long, ids long, low long, high long"
 
 
-def encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], int]:
+class _Known:
+    """Pieces met before and their ids: the recent ones and those before them, so memory is bounded."""
+
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str], encode: Callable[[list[str]], list[bytes]]) -> None:
+        """Make sure that ``new`` has all of ``pieces``."""
+        if len(self.new) > _CACHED:
+            self.new, self.old = {}, self.new
+        missing = [p for p in pieces if p not in self.new]
+        fresh = [p for p in missing if p not in self.old]
+        self.new.update((p, self.old[p]) for p in missing if p in self.old)
+        self.new.update(zip(fresh, encode(fresh), strict=True))
+
+
+#: A worker keeps a tokenizer and its pieces from task to task.
+_ENCODERS: dict[str, tuple[Callable[[list[str | None]], list[bytes]], int]] = {}
+
+
+def encoder(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
     """A function that encodes texts to bytes of ids, and the bytes of an id.
 
     A byte-level tokenizer that splits by its usual pattern never joins a blank that a letter
     follows with what stands before it. So texts are taken apart at those blanks, and a piece
-    that was met before is not encoded again. Texts with special tokens, and all texts of other
-    tokenizers, are encoded whole.
+    that was met before is not encoded again; of new ones the words are looked up likewise. Texts
+    with special tokens, and all texts of other tokenizers, are encoded whole.
     """
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _load(path)
+    return _ENCODERS[path]
+
+
+def _load(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
+    # Spark runs a worker for each core; threads of their own would only contend.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -67,29 +109,58 @@ def encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], int]:
         and setup["normalizer"] is None
         and not setup.get("truncation")
         and not setup.get("padding")
+        and setup["model"].get("type") == "BPE"
         and not setup["model"].get("dropout")
     )
     special = [t["content"] for t in setup["added_tokens"]]
-    known: dict[str, bytes] = {}
+    known, words = _Known(), _Known()
+    model = tokenizer.model
 
     def whole(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=kind).tobytes() for x in found]
 
-    def of(text: str) -> bytes:
-        if not apart or _UNSURE.search(text) or any(s in text for s in special):
-            return whole([text])[0]
-        pieces = text.replace(" ", "\0 ").split("\0")
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            if len(known) > _CACHED:
-                known.clear()
-            new = [p for p in set(pieces) if p not in known]
-            known.update(zip(new, whole(new), strict=True))
-            return b"".join([known[p] for p in pieces])
-
-    return (lambda texts: [of(t or "") for t in texts]), width
+    bytes_of = [i.to_bytes(width, "little") for i in range(tokenizer.get_vocab_size())]
+
+    def word(x: str) -> bytes:
+        x = x.replace(" ", _BLANK) if x.isascii() and x.isprintable() else x.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return b"".join([bytes_of[t.id] for t in model.tokenize(x)])
+
+    def new_pieces(pieces: list[str]) -> list[bytes]:
+        """Plain pieces go to the model word by word, others through the whole tokenizer."""
+        split = [_SPLIT.findall(p) if _PLAIN.fullmatch(p) else None for p in pieces]
+        words.learn(set(chain.from_iterable(filter(None, split))), lambda xs: [word(x) for x in xs])
+        ids = words.new
+        rest = iter(whole([p for p, xs in zip(pieces, split, strict=True) if xs is None]))
+        return [next(rest) if xs is None else b"".join([ids[x] for x in xs]) for xs in split]
+
+    def some(texts: list[str | None]) -> list[bytes]:
+        out: list[list[bytes | None]] = []
+        gaps: list[tuple[list[bytes | None], int, str]] = []
+        for text in texts:
+            text = text or ""
+            if not apart or _UNSURE.search(text) or any(s in text for s in special):
+                out.append(whole([text]))
+                continue
+            pieces = text.replace(" ", "\0 ").split("\0")
+            found = list(map(known.new.get, pieces))
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                gaps.append((found, at, pieces[at]))
+            out.append(found)
+        known.learn({p for _, _, p in gaps}, new_pieces)
+        for found, at, piece in gaps:
+            found[at] = known.new[piece]
+        return [b"".join(x) for x in out]
+
+    def encode(texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = []
+        for i in range(0, len(texts), _TEXTS):
+            out += some(texts[i : i + _TEXTS])
+        return out
+
+    return encode, width
 
 
 def token_count(text: Column, path: str) -> Column:
@@ -227,7 +298,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, files: int | None = None
                     number, name = part, f"part-{part:06d}.zst"
                     temporary = f"{root}/.{name}-{uuid.uuid4().hex}"
                     store.create_dir(root, recursive=True)
-                    out = store.open_output_stream(temporary)
+                    out = store.open_output_stream(temporary, compression=None)
                     writer = Writer(out, width)
                 writer.add(doc_id, x + end)
         if writer is not None:
