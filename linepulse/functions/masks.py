@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from linepulse.fixed import CLASS_BIRTH, CLASS_EMAIL, CLASS_LOCATION, CLASS_NAME, MASKED_NAME
 
+OUTWARD = r"^\s*([A-Za-z]{1,2}[0-9][A-Za-z0-9]?)(?:\s*[0-9][A-Za-z]{2})?\s*\z"
+
 
 def mask_name(name: Column) -> Column:
     return F.when(name.isNotNull(), F.lit(MASKED_NAME))
@@ -26,8 +28,9 @@ def mask_birth(birth: Column) -> Column:
 
 
 def mask_postcode(postcode: Column) -> Column:
-    """The outward code: the last digit and two letters go."""
-    return F.regexp_replace(F.trim(postcode), r"\s*[0-9][A-Za-z]{2}$", "")
+    """The outward code of a postcode, or of one that is masked already; any other text is hidden."""
+    outward = F.regexp_extract(postcode, OUTWARD, 1)
+    return F.when(postcode.isNotNull(), F.when(outward != "", outward).otherwise(MASKED_NAME))
 
 
 MASKS = {

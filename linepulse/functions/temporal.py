@@ -11,12 +11,26 @@ from linepulse.fixed import RETENTION_DAYS, TS
 
 
 def moment(value: dt.datetime | str | Column) -> Column:
-    """``value`` as a UTC wall-clock timestamp."""
+    """``value`` as a UTC wall-clock timestamp; a zone or offset is converted.
+
+    A column has to hold wall-clock time already; see ``utc`` for instants.
+    """
     if isinstance(value, Column):
         return value.cast(TS)
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
     return F.lit(str(value)).cast(TS)
 
 
+def utc(instant: Column) -> Column:
+    """The UTC wall-clock time of an instant, whatever the time zone of the session."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast(TS) + F.make_dt_interval(zero, zero, zero, seconds)
+
+
 def day(value: dt.date | str | Column) -> Column:
     if isinstance(value, Column):
         return value.cast("date")

@@ -16,11 +16,15 @@ from linepulse.functions.masks import MASKS
 
 TAG = "class"
 
-# What the scan looks for, anywhere in a text. The first pattern is cheap and
-# part of every match, so most texts never meet the second.
+# What the scan looks for, anywhere in a text. What the first pattern finds is
+# cheap and part of every match, so most texts never meet the second. A phone
+# number has nine or ten digits after its prefix, with blanks, hyphens or brackets between.
 PII_PATTERNS = {
     CLASS_EMAIL: ("@", r"[A-Za-z0-9._%+\-]@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"),
-    CLASS_PHONE: ("[0-9]{9}", r"(?:\+44|\b0)[0-9]{9,10}\b"),
+    CLASS_PHONE: (
+        r"[0-9 ()\-]{10}",
+        r"(?:\+44(?: ?\(0\))?|\(?\b0)(?:[ ()\-]{0,2}[0-9]){9,10}\b",
+    ),
     CLASS_LOCATION: ("[A-Z][0-9]", r"\b[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}\b"),
 }
 
@@ -61,16 +65,25 @@ def tag_coverage(df: DataFrame) -> DataFrame:
 
 
 def mask_for_audience(df: DataFrame, audience: str) -> DataFrame:
-    """Mask every tagged column by its class, unless the audience is exempt."""
+    """Mask every tagged column by its class, unless the audience is exempt.
+
+    A class without a mask hides the whole value.
+    """
     if audience in EXEMPT_AUDIENCES:
         return df
+
+    def masked(column: str, cls: str) -> Column:
+        if cls in MASKS:
+            return MASKS[cls](F.col(column))
+        return F.lit(None).cast(df.schema[column].dataType)
+
     tags = tags_of(df)
-    masked = {
-        c: MASKS[cls](F.col(c)).alias(c, metadata={TAG: cls})
-        for c, cls in tags.items()
-        if cls in MASKS
-    }
-    return df.select([masked.get(c, F.col(c)) for c in df.columns])
+    return df.select(
+        [
+            masked(c, tags[c]).alias(c, metadata={TAG: tags[c]}) if c in tags else F.col(c)
+            for c in df.columns
+        ]
+    )
 
 
 def matches(text: Column, cls: str) -> Column:
@@ -140,7 +153,9 @@ def notes_own_pii(profiles: DataFrame) -> DataFrame:
     )
     found = F.array(
         *[
-            F.when(F.col("note_text").contains(F.col(column)), F.lit(cls))
+            F.when(
+                (F.trim(F.col(column)) != "") & F.col("note_text").contains(F.col(column)), F.lit(cls)
+            )
             for cls, column in OWN_PII.items()
         ]
     )

@@ -75,8 +75,14 @@ def with_row_id(status: DataFrame) -> DataFrame:
 
 
 def latest_status(status: DataFrame) -> DataFrame:
-    """The latest row per station and line."""
-    return scd1(with_row_id(status), ["station_name", "line_id"], ["_updated_at", "row_id"])
+    """The latest row per station and line, with the columns that journeys are made of.
+
+    The record as received is the widest column by far; it stays in the scan.
+    """
+    rows = with_row_id(status).select(
+        "row_id", "station_name", *STATUS_COLUMNS, "_inserted_at", "_updated_at"
+    )
+    return scd1(rows, ["station_name", "line_id"], ["_updated_at", "row_id"])
 
 
 def _row_bytes(df: DataFrame) -> int:

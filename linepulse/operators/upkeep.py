@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions.temporal import moment, sla_interval
-from linepulse.scratch import stage
 from linepulse.sources.catalog import overwrite
 from linepulse.tables import TableSpec
 
@@ -30,8 +29,8 @@ def expired(df: DataFrame, now: dt.datetime | str | Column) -> DataFrame:
 
 
 def purge(spark: SparkSession, table: str, spec: TableSpec, now: dt.datetime | str) -> None:
-    """Remove expired rows from a table; what stays is written aside before the swap."""
-    overwrite(stage(kept(spark.table(table), now), f"kept-{spec.name}"), table, spec)
+    """Remove expired rows from a table; what stays is written aside, and that copy removed."""
+    overwrite(kept(spark.table(table), now), table, spec)
 
 
 def freshness(

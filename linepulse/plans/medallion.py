@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linepulse.fixed import JOURNEY_TAGS, RETENTION_DAYS, TARGET_TAGS
-from linepulse.operators.gold import disruption_summary, notification_targets
+from linepulse.fixed import JOURNEY_TAGS, KNOWN_LINE_IDS, RETENTION_DAYS, TARGET_TAGS
+from linepulse.operators.gold import disruption_summary, notification_targets, summary_rules
 from linepulse.operators.governance import tag_columns
 from linepulse.operators.journeys import PROFILE_COLUMNS, customer_journeys
-from linepulse.sources.catalog import append, ensure_table, overwrite, with_raw
-from linepulse.sources.feed import flatten_status, stamp
+from linepulse.operators.quality import expect_warn
+from linepulse.operators.upsert import upsert
+from linepulse.sources.catalog import (
+    append,
+    ensure_table,
+    overwrite,
+    set_properties,
+    table_properties,
+    with_raw,
+)
+from linepulse.sources.feed import broken, flatten_status, stamp, stream_feed
 from linepulse.tables import (
     CUSTOMER_JOURNEYS,
     CUSTOMER_PROFILES,
     DISRUPTION_SUMMARY,
+    FEED_QUARANTINE,
     LINE_STATUS,
     NOTIFICATION_TARGETS,
     TableSpec,
@@ -26,13 +39,64 @@ from linepulse.tables import (
 def ingest_status(
     raw: DataFrame, station_lines: DataFrame, schema: str, location: str | None = None
 ) -> DataFrame:
-    """Append the runs of a feed to bronze; ``raw`` holds ``(run_ts, payload)``."""
+    """Append the given runs of a feed to bronze; ``raw`` holds ``(run_ts, payload)``.
+
+    All of them, each time it is called: ``ingest_landed`` takes only new documents of a folder.
+    """
     spark = raw.sparkSession
     table = ensure_table(spark, LINE_STATUS, schema, location)
     append(flatten_status(raw, station_lines), table, LINE_STATUS)
     return spark.table(table)
 
 
+class BrokenFeed(ValueError):
+    """Documents that could not be read, where the job was told to fail on them."""
+
+
+def ingest_landed(
+    spark: SparkSession,
+    folder: str,
+    station_lines: DataFrame,
+    schema: str,
+    checkpoint: str,
+    location: str | None = None,
+    fail_on_broken: bool = False,
+) -> DataFrame:
+    """Append the documents that landed in ``folder`` since the last call to bronze.
+
+    ``checkpoint`` is a folder that remembers what was read. Documents that are no JSON array go
+    to the quarantine table with file and reason, or stop the job before anything of their batch
+    is written. The last batch written is noted on the table, so a batch that is run again after a
+    failure is not appended twice.
+    """
+    table = ensure_table(spark, LINE_STATUS, schema, location)
+    aside = ensure_table(spark, FEED_QUARANTINE, schema, location)
+    mark = f"platform.ingested.{hashlib.md5(checkpoint.encode()).hexdigest()}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        noted = {r.key: r.value for r in table_properties(spark, table).collect()}.get(mark, "-1")
+        if int(noted) >= batch_id:
+            return
+        bad = broken(batch)
+        n = bad.count()
+        if n and fail_on_broken:
+            raise BrokenFeed(f"{n} documents in {folder} are no JSON array")
+        if n:
+            append(stamp(bad, RETENTION_DAYS["operational"], at="run_ts"), aside, FEED_QUARANTINE)
+        append(flatten_status(batch, station_lines), table, LINE_STATUS)
+        set_properties(spark, table, {mark: str(batch_id)})
+
+    (
+        stream_feed(spark, folder)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.table(table)
+
+
 def replace_profiles(people: DataFrame, schema: str, location: str | None = None) -> DataFrame:
     """Replace the profiles in bronze; ``people`` holds them as received, and ``run_ts``."""
     spark = people.sparkSession
@@ -43,24 +107,43 @@ def replace_profiles(people: DataFrame, schema: str, location: str | None = None
     return spark.table(table)
 
 
+def merge(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` with ``rows`` updated or inserted by key; older rows lose, equally old ones win."""
+    own, came = (
+        df.withColumn("_came", F.lit(n)) for n, df in enumerate((target.select(rows.columns), rows))
+    )
+    return upsert(own, came, keys, ["_updated_at", "_came"]).drop("_came")
+
+
 def refresh(
     profiles: DataFrame,
     status: DataFrame,
     schema: str,
     as_of: dt.date | str,
     location: str | None = None,
+    line_ids: Sequence[str] = KNOWN_LINE_IDS,
 ) -> dict[str, DataFrame]:
-    """Rebuild silver and gold from bronze and return the tables by name."""
+    """Bring silver and gold up to bronze and return the tables by name.
+
+    Journeys and targets are updated or inserted by key and never deleted, so those of profiles
+    that bronze no longer has stay until retention ends. The summary is made anew from all
+    journeys; how many of its rows break its rules stands in its ``platform.expectations``.
+    """
     spark: SparkSession = profiles.sparkSession
 
-    def rebuilt(df: DataFrame, spec: TableSpec, tags: Mapping[str, str]) -> DataFrame:
+    def merged(df: DataFrame, spec: TableSpec, tags: Mapping[str, str]) -> DataFrame:
         table = ensure_table(spark, spec, schema, location)
-        overwrite(tag_columns(df, tags), table, spec)
+        overwrite(tag_columns(merge(spark.table(table), df, spec.keys), tags), table, spec)
         return spark.table(table)
 
-    journeys = rebuilt(customer_journeys(profiles, status, as_of), CUSTOMER_JOURNEYS, JOURNEY_TAGS)
-    summary = rebuilt(disruption_summary(journeys, as_of), DISRUPTION_SUMMARY, {})
-    targets = rebuilt(notification_targets(journeys, as_of), NOTIFICATION_TARGETS, TARGET_TAGS)
+    fresh = customer_journeys(profiles, status, as_of, unique_profiles=False)
+    journeys = merged(fresh, CUSTOMER_JOURNEYS, JOURNEY_TAGS)
+    table = ensure_table(spark, DISRUPTION_SUMMARY, schema, location)
+    checked, seen = expect_warn(disruption_summary(journeys, as_of), summary_rules(line_ids))
+    overwrite(checked, table, DISRUPTION_SUMMARY)
+    set_properties(spark, table, {"platform.expectations": json.dumps(seen.get)})
+    summary = spark.table(table)
+    targets = merged(notification_targets(journeys, as_of), NOTIFICATION_TARGETS, TARGET_TAGS)
     return {
         CUSTOMER_JOURNEYS.name: journeys,
         DISRUPTION_SUMMARY.name: summary,

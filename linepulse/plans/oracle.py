@@ -20,6 +20,7 @@ profiles AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
     c_name AS full_name,
     CASE WHEN c_custkey % 17 = 0 THEN concat('bad.', CAST(c_custkey AS VARCHAR))
+         WHEN c_custkey % 19 = 0 THEN ''
          ELSE concat('user', CAST(c_custkey AS VARCHAR), '@example.com') END AS email,
     CASE WHEN c_custkey % 101 = 0 THEN DATE '2999-01-01'
          WHEN c_custkey % 103 = 0 THEN NULL
@@ -31,8 +32,13 @@ profiles AS (
     lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS card_id,
     CASE WHEN c_custkey % 97 = 0 THEN NULL
          ELSE concat('Station ', CAST(c_nationkey AS VARCHAR)) END AS home_station,
-    concat('[2024-01-0', CAST(c_custkey % 9 + 1 AS VARCHAR), ' | Staff] Spoke on 07',
-           lpad(CAST(c_custkey AS VARCHAR), 9, '0'), '.', chr(10), chr(10),
+    concat('[2024-01-0', CAST(c_custkey % 9 + 1 AS VARCHAR), ' | Staff] Spoke on ',
+           CASE c_custkey % 4 WHEN 0 THEN concat('07', lpad(CAST(c_custkey AS VARCHAR), 9, '0'))
+             WHEN 1 THEN c_name
+             WHEN 2 THEN concat('user', CAST(c_custkey AS VARCHAR), '@example.com')
+             ELSE concat('AB', CAST(c_custkey % 20 + 1 AS VARCHAR), ' ',
+                         CAST(c_custkey % 9 + 1 AS VARCHAR), 'CD') END,
+           '.', chr(10), chr(10),
            '[2024-01-1', CAST(c_custkey % 9 AS VARCHAR), ' | Customer] Alerts are useful.')
       AS customer_notes,
     CAST(DATE '2024-01-05' + CAST(c_custkey % 25 AS INTEGER) AS TIMESTAMP) AS _inserted_at,
@@ -69,7 +75,12 @@ BRONZE_CTE = """
 bronze AS (
   SELECT *, _inserted_at + INTERVAL 730 DAY AS _delete_at,
     concat('{"line_id":"', line_id, '","line_name":"', line_name, '","status_severity":',
-           CAST(status_severity AS VARCHAR), '}') AS raw_payload
+           CAST(status_severity AS VARCHAR), ',"status_severity_description":"',
+           status_severity_description, '","disruption_reason":"', disruption_reason,
+           '","disruption_description":"', disruption_description, '","affected_stops_json":"',
+           replace(affected_stops_json, '"', '\\"'), '","station_name":"', station_name,
+           '","_inserted_at":"', strftime(_inserted_at, '%Y-%m-%dT%H:%M:%S.%g'),
+           '","_updated_at":"', strftime(_updated_at, '%Y-%m-%dT%H:%M:%S.%g'), '"}') AS raw_payload
   FROM status
 )"""
 
@@ -218,7 +229,7 @@ SHIFTED = f"""
   _inserted_at + ({NOW} - (SELECT max(_inserted_at) FROM bronze)) + INTERVAL 730 DAY AS _delete_at"""
 
 EMAIL_ANYWHERE = "[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
-PHONE_ANYWHERE = "(\\+44|\\b0)[0-9]{9,10}\\b"
+PHONE_ANYWHERE = "(\\+44( ?\\(0\\))?|\\(?\\b0)([ ()\\-]{0,2}[0-9]){9,10}\\b"
 POSTCODE_ANYWHERE = "\\b[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}\\b"
 
 
@@ -249,7 +260,7 @@ FROM {source} GROUP BY CAST(CAST({ts} AS DATE) AS TIMESTAMP)"""
 
 JOURNEY_PROFILE = "\nUNION ALL\n".join(
     profiled("journeys", "_updated_at", c, c in ("status_severity", "age"))
-    for c in ("home_station", "line_id", "status_severity", "age", "disruption_reason")
+    for c in f"{PROFILE}, {STATUS}, _inserted_at, _updated_at, age, _delete_at".replace(",", " ").split()
 )
 
 BY_LINE = """SELECT line_name, CAST(sum(affected_customers) AS BIGINT) AS total_affected_customers,
@@ -328,7 +339,8 @@ FROM profiles"""
   '","date_of_birth":', coalesce('"' || CAST(date_of_birth AS VARCHAR) || '"', 'null'),
   ',"telephone_number":"', telephone_number, '","home_postcode":"', home_postcode,
   '","card_id":"', card_id,
-  '","home_station":', coalesce('"' || home_station || '"', 'null'), '}}') AS raw_payload
+  '","home_station":', coalesce('"' || home_station || '"', 'null'),
+  ',"customer_notes":"', replace(customer_notes, chr(10), '\\n'), '"}}') AS raw_payload
 FROM profiles"""
     ),
     "snapshot_export": of_bronze(f"SELECT row_id, {BRONZE_COLUMNS} FROM bronze"),
@@ -599,8 +611,8 @@ FROM (
 CROSS JOIN (VALUES ('class.name'), ('class.email_address'), ('class.phone_number'),
                    ('class.location')) AS t(tag)
 WHERE contains(substr(entry, strpos(entry, '] ') + 2),
-  CASE tag WHEN 'class.name' THEN full_name WHEN 'class.email_address' THEN email
-           WHEN 'class.phone_number' THEN telephone_number ELSE home_postcode END)"""
+  nullif(CASE tag WHEN 'class.name' THEN full_name WHEN 'class.email_address' THEN email
+              WHEN 'class.phone_number' THEN telephone_number ELSE home_postcode END, ''))"""
     ),
     "freshness_status": of_summary(
         "SELECT *, CASE WHEN TIMESTAMP '2024-01-30 12:00:00' - newest <= "
@@ -638,8 +650,12 @@ FROM {source} GROUP BY CAST(_inserted_at AS DATE)"""
     "profile_metrics": of_journeys(JOURNEY_PROFILE),
     "profile_metrics_summary": of_summary(
         "\nUNION ALL\n".join(
-            profiled("summary", "disruption_date", c, c != "line_id")
-            for c in ("line_id", "affected_customers", "affected_stations")
+            profiled("summary", "disruption_date", c, c.startswith("affected"))
+            for c in (
+                "line_id", "line_name", "disruption_date", "status_severity_description",
+                "affected_customers", "affected_stations", "disruption_description", "last_updated",
+                "_inserted_at", "_updated_at", "_delete_at",
+            )
         )
     ),
     "drift_metrics": of_journeys(

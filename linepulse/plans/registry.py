@@ -62,7 +62,7 @@ def bronze_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = status(spark, sf_dir).withColumn(
         "_delete_at", plus_days(F.col("_inserted_at"), RETENTION_DAYS["operational"])
     )
-    return catalog.with_raw(rows, ["line_id", "line_name", "status_severity"])
+    return catalog.with_raw(rows, [*journeys.STATUS_COLUMNS, "station_name", "_inserted_at", "_updated_at"])
 
 
 def all_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def overwrite_sink(spark, sf_dir):
     schema, folder = new_schema(spark)
     name = catalog.ensure_table(spark, CUSTOMER_PROFILES, schema, folder)
     rows = profiles(spark, sf_dir)
-    rows = catalog.with_raw(rows, journeys.PROFILE_COLUMNS).withColumn(
+    rows = catalog.with_raw(rows, [*journeys.PROFILE_COLUMNS, "customer_notes"]).withColumn(
         "_delete_at", plus_days(F.col("_inserted_at"), RETENTION_DAYS["profile"])
     )
     catalog.append(rows.withColumn("email", F.upper("email")), name, CUSTOMER_PROFILES)
@@ -577,9 +577,10 @@ def scd1_upsert(spark, sf_dir):
 
 def _run_journeys(spark, sf_dir):
     root = fresh_path(spark, "journeys")
-    events = flows.scan_stream(
-        spark, adapter.glob_of(sf_dir, "events"), table(spark, sf_dir, "events").schema
-    )
+    landed, events = f"{root}/landed", table(spark, sf_dir, "events")
+    # Shuffled files, one per batch: late rows have to lose across batches.
+    events.repartition(3, F.xxhash64("event_id")).write.parquet(landed)
+    events = flows.scan_stream(spark, landed, events.schema, files_per_batch=1)
     flows.stream_journeys(
         adapter.as_status(events), lambda: profiles(spark, sf_dir), root, AS_OF
     ).awaitTermination()
@@ -602,13 +603,14 @@ def stream_notifications(spark, sf_dir):
 
 @query
 def changed_rows_feed(spark, sf_dir):
-    """What the later status rows changed in the journeys of the earlier ones."""
+    """What a batch of the later status rows changes in the journeys of the earlier ones."""
     people, rows = profiles(spark, sf_dir), status(spark, sf_dir)
-    earlier = rows.filter(F.col("_updated_at") < moment(MIDDLE))
-    return keyed.changes(
-        journeys.customer_journeys(people, earlier, AS_OF),
-        journeys.customer_journeys(people, rows, AS_OF),
+    later = F.col("_updated_at") >= moment(MIDDLE)
+    return keyed.batch_changes(
+        journeys.journey_versions(people, rows.filter(~later), AS_OF),
+        journeys.journey_versions(people, rows.filter(later), AS_OF),
         journeys.KEYS,
+        journeys.SEQUENCE,
     ).select(
         "_change_type", "customer_id", "line_id", "status_severity", "disruption_reason",
         "_updated_at",
@@ -737,22 +739,19 @@ def retention_by_purpose(spark, sf_dir):
     )
 
 
-PROFILED = ["home_station", "line_id", "status_severity", "age", "disruption_reason"]
-
-
 @query
 def profile_metrics(spark, sf_dir):
+    """Every column of the journeys."""
     return observe.profile_metrics(
-        all_journeys(spark, sf_dir), "_updated_at", PROFILED
+        all_journeys(spark, sf_dir), "_updated_at", CUSTOMER_JOURNEYS.column_names
     )
 
 
 @query
 def profile_metrics_summary(spark, sf_dir):
+    """Every column of the summary."""
     return observe.profile_metrics(
-        summary(spark, sf_dir),
-        "disruption_date",
-        ["line_id", "affected_customers", "affected_stations"],
+        summary(spark, sf_dir), "disruption_date", DISRUPTION_SUMMARY.column_names
     )
 
 

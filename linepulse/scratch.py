@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +20,13 @@ def _folder_of_this_machine() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a session that is known to run inside this process alone may fall back to a temporary
+    folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _folder_of_this_machine()
 
@@ -31,12 +35,43 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/linepulse/{label}-{uuid.uuid4().hex}"
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job has written; absent ones are fine."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, which may be absent."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.listStatus(at) if store.exists(at) else []
+    return [s.getPath().getName() for s in found if s.isDirectory()]
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives lost executors, and Spark knows its size from the files.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    return _stage(df, fresh_path(df.sparkSession, label))
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like ``stage``, for a job that ends inside the block: the copy is removed after it."""
+    path = fresh_path(df.sparkSession, label)
+    try:
+        yield _stage(df, path)
+    finally:
+        remove(df.sparkSession, path)

@@ -29,6 +29,7 @@ def as_profiles(customer: DataFrame) -> DataFrame:
         "cast(c_custkey as string) as customer_id",
         "c_name as full_name",
         """case when c_custkey % 17 = 0 then concat('bad.', cast(c_custkey as string))
+                when c_custkey % 19 = 0 then ''
                 else concat('user', cast(c_custkey as string), '@example.com') end as email""",
         """case when c_custkey % 101 = 0 then date'2999-01-01'
                 when c_custkey % 103 = 0 then null
@@ -41,8 +42,14 @@ def as_profiles(customer: DataFrame) -> DataFrame:
         "lpad(cast(c_custkey as string), 12, '0') as card_id",
         """case when c_custkey % 97 = 0 then null
                 else concat('Station ', cast(c_nationkey as string)) end as home_station""",
-        """concat('[2024-01-0', cast(c_custkey % 9 + 1 as string), ' | Staff] Spoke on 07',
-                  lpad(cast(c_custkey as string), 9, '0'), '.', chr(10), chr(10),
+        """concat('[2024-01-0', cast(c_custkey % 9 + 1 as string), ' | Staff] Spoke on ',
+                  case c_custkey % 4
+                    when 0 then concat('07', lpad(cast(c_custkey as string), 9, '0'))
+                    when 1 then c_name
+                    when 2 then concat('user', cast(c_custkey as string), '@example.com')
+                    else concat('AB', cast(c_custkey % 20 + 1 as string), ' ',
+                                cast(c_custkey % 9 + 1 as string), 'CD') end,
+                  '.', chr(10), chr(10),
                   '[2024-01-1', cast(c_custkey % 9 as string),
                   ' | Customer] Alerts are useful.') as customer_notes""",
         """cast(date_add(date'2024-01-05', cast(c_custkey % 25 as int)) as timestamp_ntz)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from linepulse.functions.payload import json_text
+from linepulse.scratch import staged
 from linepulse.tables import TableSpec
 
 
@@ -80,6 +82,22 @@ def append(df: DataFrame, table: str, spec: TableSpec) -> None:
 
 
 def overwrite(df: DataFrame, table: str, spec: TableSpec) -> None:
-    """Replace rows and schema; the write drops properties, so they are applied again."""
-    _writer(df, spec).mode("overwrite").saveAsTable(table)
-    set_properties(df.sparkSession, table, spec.properties)
+    """Replace the rows of a table, and its schema where types or tags differ.
+
+    The rows are written aside first: a failure in them leaves the old rows as they are, and ``df``
+    may read the table. The copy is removed at the end.
+    """
+    spark = df.sparkSession
+    with staged(conform(df, spec), f"new-{spec.name}") as rows:
+        if spark.table(table).schema.jsonValue() == _nullable(rows.schema).jsonValue():
+            if spec.cluster_by:
+                rows = rows.sortWithinPartitions(*spec.cluster_by)
+            rows.write.insertInto(table, overwrite=True)
+        else:
+            _writer(rows, spec).mode("overwrite").saveAsTable(table)
+            spark.sql(f"COMMENT ON TABLE {table} IS {_text(spec.comment)}")
+    set_properties(spark, table, spec.properties)
+
+
+def _nullable(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

@@ -5,20 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.fixed import RETENTION_DAYS, TS
+from linepulse.fixed import RETENTION_DAYS
 from linepulse.functions.payload import LINE_RECORD, line_fields
-from linepulse.functions.temporal import plus_days
+from linepulse.functions.temporal import plus_days, utc
 from linepulse.tables import LINE_STATUS
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed feed documents, one per file, with the time they were written as the run."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_modification_time").cast(TS).alias("run_ts"),
+def _documents(files: DataFrame) -> DataFrame:
+    return files.select(
+        F.col("_metadata.file_path").alias("file"),
+        utc(F.col("_metadata.file_modification_time")).alias("run_ts"),
         F.col("value").alias("payload"),
     )
 
 
+def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed feed documents, one per file, with the time in UTC they were written as the run."""
+    return _documents(spark.read.text(path, wholetext=True))
+
+
+def stream_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Like ``read_feed``, as a stream: a checkpoint remembers the files that were read."""
+    return _documents(spark.readStream.text(path, wholetext=True))
+
+
+def broken(raw: DataFrame) -> DataFrame:
+    """The documents that ``flatten_status`` has no rows for, and why: they are no JSON array."""
+    payload = F.coalesce(F.col("payload"), F.lit(""))
+    reason = (
+        F.when(payload.rlike(r"^\s*$"), "empty")
+        .when(payload.rlike(r"^\s*\{"), "an object, not an array")
+        .otherwise("no readable JSON array")
+    )
+    return raw.filter(F.from_json("payload", "array<string>").isNull()).withColumn("reason", reason)
+
+
 def station_pairs(station_lines: DataFrame) -> DataFrame:
     """``(station_name, line_ids)`` as one row per station and line."""
     return station_lines.select("station_name", F.explode("line_ids").alias("line_id"))
@@ -29,7 +50,7 @@ def line_records(raw: DataFrame, pairs: DataFrame) -> DataFrame:
 
     ``raw`` holds ``(run_ts, payload)``, the payload being the JSON array of one
     run. A repeated line counts with its last record. A payload that is no JSON
-    array gives no rows. The mapped lines reach the rows as a scalar subquery;
+    array gives no rows here; ``broken`` finds those. The mapped lines reach the rows as a scalar subquery;
     the array is never longer than the rows its run has to produce anyway.
     """
     mapped = pairs.agg(F.collect_set("line_id")).scalar()

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from linepulse.operators.upsert import scd1
+from linepulse.scratch import folders, make_dir, remove, staged
 
 BATCH = "batch_id"
 
@@ -32,8 +33,7 @@ def upsert_stream(
 
     ``rows_of`` should return each key once, which keeps the log short.
     """
-
-    _mark(source.sparkSession, root, -1, "ignore")
+    open_log(source.sparkSession, root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows_of(batch).write.mode("overwrite").parquet(f"{log_path(root)}/{BATCH}={batch_id}")
@@ -46,6 +46,12 @@ def upsert_stream(
     )
 
 
+def open_log(spark: SparkSession, root: str) -> None:
+    """Make an empty log if there is none; readers and streams may start before the first batch."""
+    make_dir(spark, log_path(root))
+    _mark(spark, root, -1, "ignore")
+
+
 def _with_batch(schema: StructType) -> StructType:
     return StructType([*schema.fields]).add(BATCH, "long")
 
@@ -99,6 +105,7 @@ def current_rows(
     sequence_by: Sequence[str],
 ) -> DataFrame:
     """The latest row per key: the last fold, and only the log folders after it."""
+    open_log(spark, root)
     return scd1(_versions(spark, root, schema, _folded_upto(spark, root)), keys, sequence_by)
 
 
@@ -123,3 +130,34 @@ def fold(
     rows.write.mode("overwrite").parquet(f"{root}/state/upto={upto}")
     _mark(spark, root, upto, "append")
     return upto
+
+
+def purge(
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    keys: Sequence[str],
+    sequence_by: Sequence[str],
+    kept: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Leave only ``kept`` rows in log and state, and no folder that is folded.
+
+    Call it while neither this stream nor one that reads its log is running, and after the reader
+    has caught up: what it has not read yet is gone from the log. Batches keep their numbers.
+    """
+    open_log(spark, root)
+    done = _folded_upto(spark, root)
+    newest = read_log(spark, root, schema).agg(F.max(BATCH)).first()[0]
+    upto = done if newest is None else max(done, newest)
+    if upto < 0:
+        return
+    rows = kept(scd1(_versions(spark, root, schema, done), keys, sequence_by))
+    state = f"{root}/state/upto={upto}"
+    with staged(rows, "kept") as clean:
+        clean.write.mode("overwrite").parquet(state)
+    _mark(spark, root, upto, "append")
+    for old in folders(spark, f"{root}/state"):
+        if not state.endswith(old):
+            remove(spark, f"{root}/state/{old}")
+    for old in folders(spark, log_path(root)):
+        remove(spark, f"{log_path(root)}/{old}")

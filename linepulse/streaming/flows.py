@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from linepulse.fixed import TS
+from linepulse.fixed import JOURNEY_TAGS, TARGET_TAGS, TS
 from linepulse.operators.gold import notification_targets
+from linepulse.operators.governance import tag_columns
 from linepulse.operators.journeys import KEYS, SEQUENCE, journey_versions, table_rows
+from linepulse.operators.upkeep import kept
 from linepulse.operators.upsert import scd1
-from linepulse.streaming.changelog import current_rows, fold, stream_log, upsert_stream
+from linepulse.sources.catalog import ensure_table, overwrite
+from linepulse.streaming.changelog import (
+    current_rows,
+    fold,
+    open_log,
+    purge,
+    stream_log,
+    upsert_stream,
+)
 from linepulse.tables import CUSTOMER_JOURNEYS, NOTIFICATION_TARGETS, TableSpec
 
 FILES_PER_BATCH = 1000
@@ -69,6 +79,7 @@ def stream_notifications(
         narrow = notification_targets(batch, as_of, extra=order).select(TARGETS.names)
         return scd1(narrow, KEYS, SEQUENCE)
 
+    open_log(spark, journeys_root)
     return upsert_stream(stream_log(spark, journeys_root, JOURNEYS), root, rows_of)
 
 
@@ -81,6 +92,37 @@ def current_targets(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(NOTIFICATION_TARGETS.column_names)
 
 
+def publish_journeys(
+    spark: SparkSession, root: str, schema: str, location: str | None = None
+) -> DataFrame:
+    """The current journeys as their catalog table, tagged, so masks, purge and freshness reach them."""
+    return _publish(current_journeys(spark, root), CUSTOMER_JOURNEYS, JOURNEY_TAGS, schema, location)
+
+
+def publish_targets(
+    spark: SparkSession, root: str, schema: str, location: str | None = None
+) -> DataFrame:
+    return _publish(current_targets(spark, root), NOTIFICATION_TARGETS, TARGET_TAGS, schema, location)
+
+
+def _publish(
+    rows: DataFrame, spec: TableSpec, tags: Mapping[str, str], schema: str, location: str | None
+) -> DataFrame:
+    spark = rows.sparkSession
+    table = ensure_table(spark, spec, schema, location)
+    overwrite(tag_columns(rows, tags), table, spec)
+    return spark.table(table)
+
+
+def purge_journeys(spark: SparkSession, root: str, now: dt.datetime | str) -> None:
+    """Remove expired journeys from log and state; see ``changelog.purge``."""
+    purge(spark, root, JOURNEYS, KEYS, SEQUENCE, lambda rows: kept(rows, now))
+
+
+def purge_targets(spark: SparkSession, root: str, now: dt.datetime | str) -> None:
+    purge(spark, root, TARGETS, KEYS, SEQUENCE, lambda rows: kept(rows, now))
+
+
 def fold_journeys(spark: SparkSession, root: str) -> int:
     return fold(spark, root, JOURNEYS, KEYS, SEQUENCE)
 

@@ -133,6 +133,19 @@ NOTIFICATION_TARGETS = TableSpec(
     keys=("customer_id", "line_id"),
 )
 
+FEED_QUARANTINE = TableSpec(
+    name="feed_quarantine",
+    columns=(
+        ("file", "string", "File of the document"),
+        ("reason", "string", "Why no status could be read"),
+        ("payload", "string", "The document as received"),
+        *_platform(),
+    ),
+    comment="Feed documents that could not be read",
+    purpose="operational",
+    freshness_sla="1d",
+)
+
 ALL_TABLES = (
     LINE_STATUS, CUSTOMER_PROFILES, CUSTOMER_JOURNEYS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS,
 )

@@ -1,5 +1,6 @@
 import datetime as dt
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="linepulse-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -23,3 +23,9 @@ def test_only_a_local_session_may_go_without():
     assert shared_dir(Conf({"spark.master": "local[2]"}))
     with pytest.raises(ValueError):
         shared_dir(Conf({"spark.master": "yarn"}))
+
+
+@pytest.mark.parametrize("master", [None, "", "local-cluster[2,1,1024]", "localhost:7077"])
+def test_a_master_that_is_not_known_to_be_local_is_refused(master):
+    with pytest.raises(ValueError):
+        shared_dir(Conf({"spark.master": master} if master is not None else {}))
