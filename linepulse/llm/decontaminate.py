@@ -22,7 +22,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -243,17 +242,17 @@ def contaminated(
 ) -> DataFrame:
     """``(doc_id, item_id, start, end, distance)``: regions of ``docs(doc_id, text)`` taken from items.
 
-    The index of a block of items goes to the tasks as a broadcast of bounded size; the documents
-    are read once for each block.
+    The index of a block of items is of bounded size and goes to the tasks with their function; the
+    documents are read once for each block.
     """
     spark, result = docs.sparkSession, None
     for block in _blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast(build(block, q, window, edits))
+        index = build(block, q, window, edits)
 
-        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def find(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for rows in batches:
                 ids = rows.column(0)
-                hits = list(regions(shared.value, rows.column(1).to_pylist()))
+                hits = list(regions(index, rows.column(1).to_pylist()))
                 if hits:
                     row, *rest = (list(x) for x in zip(*hits, strict=True))
                     doc = ids.take(pa.array(row))
@@ -270,18 +269,16 @@ def contaminated(
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns."""
-    text = F.col("text")
-    spark, rows = docs.sparkSession, docs
+    rows = docs
     for block in _blocks(benchmark, BLOCK_CHARS):
-        shared = spark.sparkContext.broadcast(build(block))
-        rows = rows.where(~_holds(text, shared))
+        rows = rows.where(~_holds(F.col("text"), build(block)))
     return rows
 
 
-def _holds(text: Column, shared: Broadcast) -> Column:
+def _holds(text: Column, index: Index) -> Column:
     def of(texts: pd.Series) -> pd.Series:
         hit = np.zeros(len(texts), dtype=bool)
-        hit[[x[0] for x in regions(shared.value, texts.tolist())]] = True
+        hit[[x[0] for x in regions(index, texts.tolist())]] = True
         return pd.Series(hit)
 
     return F.pandas_udf(of, "boolean")(text)
