@@ -21,7 +21,7 @@ from linepulse.llm import (
     url_filter,
 )
 from linepulse.llm.common import remainder, table
-from linepulse.scratch import fresh_path, stage
+from linepulse.scratch import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
 VERSIONS = {"words-1": None, "byte_bpe_50k-1": TOKENIZER}
@@ -40,7 +40,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     paths = {v: file and public_tokenizers.path(file) for v, file in VERSIONS.items()}
-    rows = stage(token_counts.counts(docs, paths), "counts")
+    rows = token_counts.counts(docs, paths)
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     low = rows.join(marks.where("quality = 0"), "doc_id", "left_semi")
     toxic = rows.join(marks.where("toxic = 1 AND NOT quality <=> 0"), "doc_id", "left_semi")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from linepulse.llm.common import word_count
 from linepulse.llm.token_files import token_count
+from linepulse.scratch import stage
 
 GROUP = ("source", "lang", "version")
 SCHEMA = "source string, lang string, version string, docs long, tokens long"
@@ -31,13 +32,14 @@ def counts(docs: DataFrame, tokenizers: dict[str, str | None]) -> DataFrame:
     ``tokenizers`` gives each version its tokenizer file; None counts words.
     """
     text = F.col("text")
-    of = [
-        F.struct(
-            F.lit(version).alias("version"), (token_count(text, path) if path else word_count(text)).alias("tokens")
-        )
-        for version, path in tokenizers.items()
+    found = [
+        (token_count(text, path) if path else word_count(text)).alias(f"count_{i}")
+        for i, path in enumerate(tokenizers.values())
     ]
-    rows = docs.select("doc_id", "source", "lang", F.array(*of).alias("of"))
+    # Written before they are dealt out to rows: else Spark would count once more for a filter.
+    rows = stage(docs.select("doc_id", "source", "lang", *found), "counts")
+    of = [F.struct(F.lit(v).alias("version"), F.col(f"count_{i}").alias("tokens")) for i, v in enumerate(tokenizers)]
+    rows = rows.select("doc_id", "source", "lang", F.array(*of).alias("of"))
     return rows.select("doc_id", "source", "lang", F.explode("of").alias("of")).select(
         "doc_id", "source", "lang", "of.version", "of.tokens"
     )
