@@ -5,7 +5,13 @@ that are at most k edits apart, share m + 1 - q (k + 1) of the q-grams at least,
 alignment of k edits all of those lie within k diagonals of each other. So shared q-grams are
 counted in diagonal bands that overlap by half, bands with fewer are given up, and the regions
 that are left are verified by a banded alignment: exact edit distance of the window to its best
-place there. Nothing within the budget is missed.
+place there. No window within its budget is missed.
+
+Windows have 96 characters and start at every 48th. For parts of an item there are windows of 48
+characters besides, which start at every word, and at every 8th character of a word longer than
+that. So the smallest passage found is one of 48 characters (8 or 9 words) from the start of a
+word of the item, or of 55 from any place, with a tenth of a window's characters in edits.
+Shorter passages are not found, unless they are a whole item.
 
 Letters are compared in lower case and any white space as a blank, one character for one, so the
 places found are places in the text. Null texts have no regions; an item that is null or has
@@ -27,13 +33,17 @@ from pyspark.sql import functions as F
 
 Q = 8
 WINDOW = 96
+#: The windows that start at every word; the least characters of a passage that is found in a longer item.
+PASSAGE = 48
+#: Characters of a word after which a window starts inside it.
+STEP = 8
 #: Edits allowed, as a share of a window's characters.
 EDITS = 0.1
 #: Most characters of the items that are indexed at a time; more items make more blocks.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 750_000
 _SPACE = re.compile(r"\s")
 _BITS = 22
-_FAR = 1 << 20
+_FAR = 1 << 30
 SCHEMA = "doc_id long, item_id long, start int, end int, distance int"
 
 
@@ -77,34 +87,114 @@ class Index:
     window: np.ndarray
     offset: np.ndarray
     maybe: np.ndarray  # by the hash's last bits: may it be known
+    number: np.ndarray  # of each window: which item of the block
+    sieve: Sieve
+
+
+@dataclass
+class Sieve:
+    """Where each known q-gram occurs in the items, and what any window of an item asks for."""
+
+    first: np.ndarray  # of each q-gram: its places in item and offset
+    item: np.ndarray
+    offset: np.ndarray
+    step: np.ndarray  # of each item: most edits, and one
+    need: np.ndarray  # fewest q-grams to share
+    reach: np.ndarray  # most characters between the first and the last
 
 
-def build(items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: float = EDITS) -> Index:
-    ids, codes = [], []
+def word_starts(codes: np.ndarray, step: int = STEP) -> np.ndarray:
+    """Places where a word starts, and every ``step`` characters on until the next one does."""
+    blank = codes == ord(" ")
+    at = np.flatnonzero(~blank & np.append(True, blank[:-1]))
+    gaps = np.diff(at, append=len(codes))
+    more = -(-gaps // step)
+    return np.repeat(at, more) + step * (np.arange(more.sum()) - np.repeat(more.cumsum() - more, more))
+
+
+def build(
+    items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: float = EDITS, passage: int | None = None
+) -> Index:
+    """The index of ``items``; with ``passage``, windows of so many characters start at every word too."""
+    ids, codes, wholes, number = [], [], [], []
     for item_id, text in items:
         whole = _codes(plain(text))
         if len(whole) < q:
             continue
+        before = len(codes)
         last = max(0, len(whole) - window)
         for start in sorted({*range(0, last, window // 2), last}):
             ids.append(item_id)
             codes.append(whole[start : start + window])
+        if passage and len(whole) > passage:
+            starts = word_starts(whole)
+            for start in [*starts[starts < len(whole) - passage].tolist(), len(whole) - passage]:
+                ids.append(item_id)
+                codes.append(whole[start : start + passage])
+        number.extend([len(wholes)] * (len(codes) - before))
+        wholes.append(whole)
     size = np.array([len(c) for c in codes], dtype=np.int64)
     # As many edits as leave one q-gram to share at least.
     budget = np.minimum((edits * size).astype(np.int64), np.maximum(size // q - 1, 0))
+    least = size + 1 - q * (budget + 1)
+    known, first, window_of, offset = _places(codes, q)
+    maybe = np.zeros(1 << _BITS, dtype=bool)
+    maybe[(known >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+    # The windows cover their items, so both tables have the same q-grams.
+    _, item_first, item_of, item_offset = _places(wholes, q)
+    number_of = np.array(number, dtype=np.int64)
+    step, need, reach = np.zeros(len(wholes), np.int64), np.full(len(wholes), 1 << 40), np.zeros(len(wholes), np.int64)
+    np.maximum.at(step, number_of, budget + 1)
+    np.minimum.at(need, number_of, least)
+    np.maximum.at(reach, number_of, size - q)
+    sieve = Sieve(item_first, item_of, item_offset, step, need, reach)
+    return Index(
+        q, np.array(ids, dtype=np.int64), codes, budget, least, known, first, window_of, offset, maybe, number_of, sieve
+    )
+
+
+def _places(codes: list[np.ndarray], q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The q-grams of ``codes``, sorted, and where the places of each begin; of each place, text and offset."""
     hashes = [grams(c, q) for c in codes]
     every = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
     order = np.argsort(every, kind="stable")
     known, first = np.unique(every[order], return_index=True)
-    counts = size - q + 1
-    window_of = np.repeat(np.arange(len(codes)), counts)[order]
+    counts = [len(h) for h in hashes]
+    text = np.repeat(np.arange(len(codes)), counts)[order]
     offset = (np.concatenate([np.arange(n) for n in counts]) if hashes else np.zeros(0, dtype=np.int64))[order]
-    maybe = np.zeros(1 << _BITS, dtype=bool)
-    maybe[(known >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-    return Index(
-        q, np.array(ids, dtype=np.int64), codes, budget, size + 1 - q * (budget + 1), known,
-        np.append(first, len(every)), window_of, offset, maybe,
-    )
+    return known, np.append(first, len(every)), text, offset
+
+
+def _flat(first: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the q-grams ``k``, and how many each has."""
+    n = first[k + 1] - first[k]
+    return np.repeat(first[k] - np.append(0, n.cumsum()[:-1]), n) + np.arange(n.sum()), n
+
+
+def _sifted(sieve: Sieve, at: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Which items can have a window in a text with the q-grams ``k`` at places ``at``.
+
+    Bands of the item's widest budget, and in one of them as many q-grams as the easiest window
+    needs, no further apart than the longest window reaches: every match has that.
+    """
+    passed = np.zeros(len(sieve.step), dtype=bool)
+    place, n = _flat(sieve.first, k)
+    item, offset = sieve.item[place], sieve.offset[place]
+    band = (np.repeat(at, n) - offset + _FAR) // sieve.step[item]
+    key = np.concatenate([(item << 32) + band, (item << 32) + band - 1])
+    offset = np.tile(offset, 2)
+    _, back, shared = np.unique(key, return_inverse=True, return_counts=True)
+    enough = shared[back] >= sieve.need[key >> 32]
+    key, offset = key[enough], offset[enough]
+    order = np.lexsort((offset, key))
+    key, offset = key[order], offset[order]
+    item = key >> 32
+    last = np.arange(len(key)) + sieve.need[item] - 1
+    inside = last < len(key)
+    item, last = item[inside], last[inside]
+    close = (key[last] == key[inside]) & (offset[last] - offset[inside] <= sieve.reach[item])
+    passed[item[close]] = True
+    return passed
 
 
 def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,12 +207,13 @@ def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     k = np.minimum(np.searchsorted(index.known, hashes[at]), len(index.known) - 1)
     hit = index.known[k] == hashes[at]
     at, k = at[hit], k[hit]
-    n = index.first[k + 1] - index.first[k]
-    if not n.sum():
+    passed = _sifted(index.sieve, at, k)
+    if not passed.any():
         return none
-    # All places of each hit, flat.
-    place = np.repeat(index.first[k] - np.append(0, n.cumsum()[:-1]), n) + np.arange(n.sum())
+    place, n = _flat(index.first, k)
     w, diagonal = index.window[place], np.repeat(at, n) - index.offset[place] + _FAR
+    able = passed[index.number[w]]
+    w, diagonal = w[able], diagonal[able]
     # A step of k + 1 and bands of two steps: any k + 1 neighbouring diagonals are in one band.
     step = index.budget[w] + 1
     band = diagonal // step
@@ -193,11 +284,16 @@ def regions(index: Index, texts: list[str | None], batch: int = 4096) -> Iterato
     waiting: list[tuple[int, np.ndarray, int, int]] = []
 
     def verify() -> None:
-        w, d = (np.array([x[i] for x in waiting], dtype=np.int64) for i in (2, 3))
-        cost, start, end = align(index, [x[1] for x in waiting], w, d)
-        for (row, codes, win, _), c, a, b in zip(waiting, cost.tolist(), start.tolist(), end.tolist(), strict=True):
-            if c <= index.budget[win]:
-                found.append((row, int(index.items[win]), max(0, a), min(b, len(codes)), c))
+        # Rows and bands are as large as the largest of a batch needs, so windows of one budget go together.
+        by_budget: dict[int, list[tuple[int, np.ndarray, int, int]]] = {}
+        for x in waiting:
+            by_budget.setdefault(int(index.budget[x[2]]), []).append(x)
+        for some in by_budget.values():
+            w, d = (np.array([x[i] for x in some], dtype=np.int64) for i in (2, 3))
+            cost, start, end = align(index, [x[1] for x in some], w, d)
+            for (row, codes, win, _), c, a, b in zip(some, cost.tolist(), start.tolist(), end.tolist(), strict=True):
+                if c <= index.budget[win]:
+                    found.append((row, int(index.items[win]), max(0, a), min(b, len(codes)), c))
         waiting.clear()
 
     for row, text in enumerate(texts):
@@ -238,7 +334,13 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: float = EDITS, block_chars: int = BLOCK_CHARS
+    docs: DataFrame,
+    benchmark: DataFrame,
+    q: int = Q,
+    window: int = WINDOW,
+    edits: float = EDITS,
+    block_chars: int = BLOCK_CHARS,
+    passage: int | None = PASSAGE,
 ) -> DataFrame:
     """``(doc_id, item_id, start, end, distance)``: regions of ``docs(doc_id, text)`` taken from items.
 
@@ -247,7 +349,7 @@ def contaminated(
     """
     spark, result = docs.sparkSession, None
     for block in _blocks(benchmark, block_chars):
-        index = build(block, q, window, edits)
+        index = build(block, q, window, edits, passage)
 
         def find(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for rows in batches:
@@ -271,7 +373,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns."""
     rows = docs
     for block in _blocks(benchmark, BLOCK_CHARS):
-        rows = rows.where(~_holds(F.col("text"), build(block)))
+        rows = rows.where(~_holds(F.col("text"), build(block, passage=PASSAGE)))
     return rows
 
 

@@ -99,3 +99,26 @@ def test_empty(frame):
 def test_grams(size):
     codes = np.arange(size, dtype=np.uint32)
     assert len(d.grams(codes, 8)) == max(0, size - 7)
+
+
+def test_parts_of_long_items_are_found_off_the_grid(frame):
+    rng = random.Random(6)
+    items = [(i, prose(rng, 120)) for i in range(6)]
+    rows = []
+    for i in range(90):
+        words, n = items[i % 6][1].split(), (13, 16, 20)[i // 6 % 3]
+        at = rng.randrange(len(words) - n)
+        while len(" ".join(words[at : at + n])) < d.PASSAGE:
+            at = rng.randrange(len(words) - n)
+        part = " ".join(words[at : at + n])
+        rows.append((i, prose(rng, 40) + " " + (damaged(rng, part, 2) if i % 2 else part) + " " + prose(rng, 40)))
+    docs = frame([*rows, (90, prose(rng, 200))], "doc_id long, text string")
+    bench = frame([*items, (6, "語" * 20 + "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(300)))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(docs, bench).collect()}
+    assert got == {(i, i % 6) for i in range(90)}
+    assert [r.doc_id for r in d.clean(docs, bench).collect()] == [90]
+
+
+def test_windows_start_inside_text_without_blanks():
+    codes = np.array([ord(c) for c in "ab abcdefghijklmnopqrs  c"], dtype=np.uint32)
+    assert d.word_starts(codes).tolist() == [0, 3, 11, 19, 24]
