@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.llm import (
+    alignment,
     ann,
     decontaminate,
     mixing,
+    periodic,
+    pieces,
     quality,
     simhash,
     substring,
@@ -20,10 +23,11 @@ from linepulse.llm import (
     toxicity,
     url_filter,
 )
-from linepulse.llm.common import remainder, table
+from linepulse.llm.common import WORD, remainder, table
 from linepulse.scratch import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 VERSIONS = {"words-1": None, "byte_bpe_50k-1": TOKENIZER}
 #: Names of sites whose URLs make the list of the URL filter.
 LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
@@ -105,11 +109,57 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, urls)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.align(table(spark, sf_dir, "documents"), a, b, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The texts of ``documents`` with periods set into those whose id's crc32 is a multiple of 10.
+
+    From word a = g % n on, the first p = 1 + floor((n - a) / (3 + g % 8)) words repeat; g is a tenth of the
+    crc32, n the number of words. Words of those texts are joined by one blank.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), 0)).alias("words"))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    placed = words.withColumn("a", F.when(n > 0, g % n).cast("int")).withColumn(
+        "p", (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + g % 8))).cast("int")
+    )
+    rest = n - F.col("a")
+    often = F.ceil(rest / F.col("p")).cast("int")
+    period = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), often))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(period, F.lit(1), rest))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.runs(_with_periods(table(spark, sf_dir, "documents")))
+    size = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    best = found.withColumn("best", size)
+    length, start, period = F.col("best")["length"], -F.col("best")["col2"], -F.col("best")["col3"]
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(F.lit(1000) * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_simhash, op3_mixing, op4_substring_dedup, op5_token_files,
         op6_decontamination, op7_toxicity, op8_neighbours, op9_quality, op10_url_filter,
+        op11_alignment, op12_periodic_runs, op13_pieces,
     )
 }
 

@@ -13,7 +13,7 @@ NAMES = [*registered.QUERIES, "pipeline"]
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in registered.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registered.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(NAMES) <= set(queries())
     assert [f"op{i}" for i in (7, 2, 6, 3, 5)] and len(corpus_pipeline.STAGES) == 5
 
