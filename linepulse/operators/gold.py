@@ -35,6 +35,11 @@ def disruption_summary(journeys: DataFrame, as_of: dt.date | str) -> DataFrame:
             F.min("_updated_at").alias("updated"),
         )
     )
+    return summary_of_stations(by_station, as_of)
+
+
+def summary_of_stations(by_station: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """The summary of rows per group, station and detail."""
     return (
         by_station.groupBy(*SUMMARY_KEYS)
         .agg(

@@ -6,6 +6,7 @@ The described behaviour is the only source for the purge and for the status.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions.temporal import moment, sla_interval
-from linepulse.sources.catalog import overwrite
+from linepulse.sources.catalog import buckets_of, numbers, overwrite, replace_buckets
 from linepulse.tables import TableSpec
 
 
@@ -29,8 +30,12 @@ def expired(df: DataFrame, now: dt.datetime | str | Column) -> DataFrame:
 
 
 def purge(spark: SparkSession, table: str, spec: TableSpec, now: dt.datetime | str) -> None:
-    """Remove expired rows from a table; what stays is written aside, and that copy removed."""
-    overwrite(kept(spark.table(table), now), table, spec)
+    """Remove expired rows from a table; of a bucketed one only buckets that hold such rows are rewritten."""
+    rows = spark.table(table)
+    if not buckets_of(spark, table):
+        overwrite(kept(rows, now), table, spec)
+    elif touched := numbers(expired(rows, now)):
+        replace_buckets(kept(rows, now), table, touched, uuid.uuid4().hex, spec.cluster_by)
 
 
 def freshness(

@@ -10,31 +10,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.fixed import JOURNEY_TAGS, KNOWN_LINE_IDS, RETENTION_DAYS, TARGET_TAGS
-from linepulse.operators.gold import disruption_summary, notification_targets, summary_rules
-from linepulse.operators.governance import tag_columns
+from linepulse.fixed import KNOWN_LINE_IDS, RETENTION_DAYS
+from linepulse.operators.counts import counts_after, dated, signed, summary_of_counts
+from linepulse.operators.gold import SUMMARY_KEYS, notification_targets, summary_rules
 from linepulse.operators.journeys import PROFILE_COLUMNS, customer_journeys
-from linepulse.operators.quality import expect_warn
-from linepulse.operators.upsert import upsert
+from linepulse.operators.quality import dq_report
+from linepulse.sources import keyed
 from linepulse.sources.catalog import (
+    BUCKET,
     append,
+    buckets_of,
     ensure_table,
+    numbers,
     overwrite,
+    replace_buckets,
+    rows_of,
+    seen_by,
     set_properties,
     table_properties,
+    with_bucket,
     with_raw,
 )
 from linepulse.sources.feed import broken, flatten_status, stamp, stream_feed
 from linepulse.tables import (
     CUSTOMER_JOURNEYS,
     CUSTOMER_PROFILES,
+    DISRUPTION_COUNTS,
     DISRUPTION_SUMMARY,
     FEED_QUARANTINE,
     LINE_STATUS,
     NOTIFICATION_TARGETS,
-    TableSpec,
 )
 
+#: Property of the summary: the day it was made for, once it has all counted journeys.
+SUMMARISED = "platform.summarised_for"
+
 
 def ingest_status(
     raw: DataFrame, station_lines: DataFrame, schema: str, location: str | None = None
@@ -107,14 +117,6 @@ def replace_profiles(people: DataFrame, schema: str, location: str | None = None
     return spark.table(table)
 
 
-def merge(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` with ``rows`` updated or inserted by key; older rows lose, equally old ones win."""
-    own, came = (
-        df.withColumn("_came", F.lit(n)) for n, df in enumerate((target.select(rows.columns), rows))
-    )
-    return upsert(own, came, keys, ["_updated_at", "_came"]).drop("_came")
-
-
 def refresh(
     profiles: DataFrame,
     status: DataFrame,
@@ -126,26 +128,54 @@ def refresh(
     """Bring silver and gold up to bronze and return the tables by name.
 
     Journeys and targets are updated or inserted by key and never deleted, so those of profiles
-    that bronze no longer has stay until retention ends. The summary is made anew from all
-    journeys; how many of its rows break its rules stands in its ``platform.expectations``.
+    that bronze no longer has stay until retention ends. Only buckets with a changed journey are
+    rewritten; the summary follows from the journeys that changed, and is otherwise not touched
+    until the day of ``as_of`` changes, since its rows end so many days after that. How many of its
+    rows break its rules stands in its ``platform.expectations``.
+
+    A run that failed is completed by the next one, which goes on with the same changed journeys.
+    ``status`` may be all of bronze or only what is new in it.
     """
     spark: SparkSession = profiles.sparkSession
-
-    def merged(df: DataFrame, spec: TableSpec, tags: Mapping[str, str]) -> DataFrame:
-        table = ensure_table(spark, spec, schema, location)
-        overwrite(tag_columns(merge(spark.table(table), df, spec.keys), tags), table, spec)
-        return spark.table(table)
-
-    fresh = customer_journeys(profiles, status, as_of, unique_profiles=False)
-    journeys = merged(fresh, CUSTOMER_JOURNEYS, JOURNEY_TAGS)
-    table = ensure_table(spark, DISRUPTION_SUMMARY, schema, location)
-    checked, seen = expect_warn(disruption_summary(journeys, as_of), summary_rules(line_ids))
-    overwrite(checked, table, DISRUPTION_SUMMARY)
-    set_properties(spark, table, {"platform.expectations": json.dumps(seen.get)})
-    summary = spark.table(table)
-    targets = merged(notification_targets(journeys, as_of), NOTIFICATION_TARGETS, TARGET_TAGS)
-    return {
-        CUSTOMER_JOURNEYS.name: journeys,
-        DISRUPTION_SUMMARY.name: summary,
-        NOTIFICATION_TARGETS.name: targets,
+    tables = {
+        spec.name: ensure_table(spark, spec, schema, location)
+        for spec in (CUSTOMER_JOURNEYS, DISRUPTION_COUNTS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS)
     }
+    journeys = tables[CUSTOMER_JOURNEYS.name]
+    if change := keyed.pending(spark, journeys):
+        _carry_on(spark, tables, change, as_of)
+    fresh = customer_journeys(profiles, status, as_of, unique_profiles=False)
+    if change := keyed.prepare(fresh, journeys, CUSTOMER_JOURNEYS):
+        _carry_on(spark, tables, change, as_of)
+    _summarise(spark, tables, as_of, line_ids)
+    return {spec.name: rows_of(spark, tables[spec.name]) for spec in (CUSTOMER_JOURNEYS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS)}
+
+
+def _carry_on(spark: SparkSession, tables: Mapping[str, str], change: str, as_of: dt.date | str) -> None:
+    """Bring a noted change into journeys, counts and targets; every step may be repeated."""
+    journeys, counts, targets = (tables[s.name] for s in (CUSTOMER_JOURNEYS, DISRUPTION_COUNTS, NOTIFICATION_TARGETS))
+    keyed.apply(spark, journeys, CUSTOMER_JOURNEYS, change)
+    pairs = keyed.read_change(spark, journeys, change)
+    n = buckets_of(spark, counts)
+    images = with_bucket(dated(signed(pairs)), SUMMARY_KEYS, n)
+    left = sorted(set(numbers(images)) - seen_by(spark, counts, change))
+    if left:
+        set_properties(spark, tables[DISRUPTION_SUMMARY.name], {SUMMARISED: ""})
+        mine = F.col(BUCKET).isin(left)
+        before = spark.table(counts).where(mine).drop(BUCKET)
+        with counts_after(before, images.where(mine).drop(BUCKET), rows_of(spark, journeys)) as after:
+            replace_buckets(with_bucket(after, SUMMARY_KEYS, n), counts, left, change)
+    keyed.upsert_table(notification_targets(pairs.select("_new.*"), as_of), targets, NOTIFICATION_TARGETS)
+    keyed.finish(spark, journeys, change)
+
+
+def _summarise(spark: SparkSession, tables: Mapping[str, str], as_of: dt.date | str, line_ids: Sequence[str]) -> None:
+    """Bring the summary up to the counts, where these or the day have changed, and note broken rules."""
+    table, counts = tables[DISRUPTION_SUMMARY.name], rows_of(spark, tables[DISRUPTION_COUNTS.name])
+    noted = {r.key: r.value for r in table_properties(spark, table).collect()}
+    if noted.get(SUMMARISED) != str(as_of):
+        keyed.sync(summary_of_counts(counts, as_of), table, DISRUPTION_SUMMARY)
+        rules = summary_rules(line_ids)
+        report = dq_report(rows_of(spark, table), rules).collect()
+        broken_rows = {"rows": report[0]["rows"], **{r["rule"]: r["failed"] for r in report}}
+        set_properties(spark, table, {"platform.expectations": json.dumps(broken_rows), SUMMARISED: str(as_of)})

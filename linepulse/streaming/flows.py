@@ -15,7 +15,7 @@ from linepulse.operators.governance import tag_columns
 from linepulse.operators.journeys import KEYS, SEQUENCE, journey_versions, table_rows
 from linepulse.operators.upkeep import kept
 from linepulse.operators.upsert import scd1
-from linepulse.sources.catalog import ensure_table, overwrite
+from linepulse.sources.catalog import ensure_table, overwrite, rows_of
 from linepulse.streaming.changelog import (
     current_rows,
     fold,
@@ -111,7 +111,7 @@ def _publish(
     spark = rows.sparkSession
     table = ensure_table(spark, spec, schema, location)
     overwrite(tag_columns(rows, tags), table, spec)
-    return spark.table(table)
+    return rows_of(spark, table)
 
 
 def purge_journeys(spark: SparkSession, root: str, now: dt.datetime | str) -> None:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from linepulse.fixed import TS
+from linepulse.fixed import JOURNEY_TAGS, TARGET_TAGS, TS
 
 
 @dataclass(frozen=True)
@@ -16,15 +17,22 @@ class TableSpec:
     freshness_sla: str
     cluster_by: tuple[str, ...] = ()
     keys: tuple[str, ...] = ()
+    #: Hash buckets of the keys that a new table is laid out in; choose so that one bucket suits one task.
+    buckets: int = 0
+    tags: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def column_names(self) -> list[str]:
         return [name for name, _, _ in self.columns]
 
+    @property
+    def change_feed(self) -> bool:
+        return self.keys == ("customer_id", "line_id")
+
     @property
     def properties(self) -> dict[str, str]:
         props = {"platform.freshness_sla": self.freshness_sla}
-        if self.keys:
+        if self.change_feed:
             props["platform.change_feed"] = "true"
         return props
 
@@ -93,6 +101,8 @@ CUSTOMER_JOURNEYS = TableSpec(
     freshness_sla="1d",
     cluster_by=("home_station", "customer_id"),
     keys=("customer_id", "line_id"),
+    buckets=64,
+    tags=JOURNEY_TAGS,
 )
 
 DISRUPTION_SUMMARY = TableSpec(
@@ -111,6 +121,30 @@ DISRUPTION_SUMMARY = TableSpec(
     comment="Disruptions by line, day and severity; no personal data",
     purpose="operational",
     freshness_sla="1h",
+    keys=("line_id", "line_name", "disruption_date", "status_severity_description"),
+    buckets=16,
+)
+
+# Behind the summary: what its groups are made of, so that changed journeys can be added and taken away.
+DISRUPTION_COUNTS = TableSpec(
+    name="disruption_counts",
+    columns=(
+        *((c, k, t) for c, k, t in DISRUPTION_SUMMARY.columns[:4]),
+        ("home_station", "string", "Station of the customers"),
+        ("disruption_description", "string", "Detail"),
+        ("journeys", "long", "Journeys of the station, line, day, severity and detail"),
+        ("customers", "long", "Those with a customer"),
+        *(
+            column
+            for kind in ("newest", "oldest", "inserted")
+            for column in ((kind, TS, f"The {kind} time"), (f"{kind}_journeys", "long", "Journeys that have it"))
+        ),
+    ),
+    comment="Journeys counted per station and detail; kept by signed changes",
+    purpose="operational",
+    freshness_sla="1h",
+    keys=DISRUPTION_SUMMARY.keys,
+    buckets=16,
 )
 
 NOTIFICATION_TARGETS = TableSpec(
@@ -131,6 +165,8 @@ NOTIFICATION_TARGETS = TableSpec(
     purpose="alerting",
     freshness_sla="1d",
     keys=("customer_id", "line_id"),
+    buckets=64,
+    tags=TARGET_TAGS,
 )
 
 FEED_QUARANTINE = TableSpec(

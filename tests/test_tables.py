@@ -35,7 +35,8 @@ def test_every_table_can_be_created_twice(spark, schema):
     for spec in ALL_TABLES:
         for _ in range(2):
             table = catalog.ensure_table(spark, spec, *schema)
-        assert spark.table(table).columns == spec.column_names
+        assert catalog.rows_of(spark, table).columns == spec.column_names
+        assert catalog.buckets_of(spark, table) == spec.buckets
         assert props(spark, table)["platform.freshness_sla"] == spec.freshness_sla
         comments = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {table}").collect()}
         assert comments["_updated_at"]
