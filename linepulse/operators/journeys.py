@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from linepulse.fixed import (
 from linepulse.functions.temporal import age_years, day, oldest_of, recent, retention_stamp
 from linepulse.operators.quality import Rules, expect_drop
 from linepulse.operators.upsert import scd1
-from linepulse.scratch import stage
+from linepulse.scratch import stage, staged
 from linepulse.tables import CUSTOMER_JOURNEYS
 
 KEYS = ["customer_id", "line_id"]
@@ -41,7 +42,8 @@ STATUS_COLUMNS = [
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Timestamps, numbers and overhead of a row, next to its text.
 ROW_BYTES = 128
-SALTS = 64
+# Customers of one station that a task of the shuffled join takes.
+CUSTOMERS_A_TASK = 1_000_000
 
 
 def disrupted(status: DataFrame) -> DataFrame:
@@ -94,26 +96,49 @@ def _row_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row)).first()[0] or 0
 
 
+def station_parts(profiles: DataFrame, customers: int) -> DataFrame:
+    """``(station, parts)`` of the stations with more than so many customers, as many parts as they need.
+
+    There are fewer such stations than the customers divided by that number.
+    """
+    counts = profiles.groupBy(F.col("home_station").alias("station")).agg(F.count(F.lit(1)).alias("n"))
+    heavy = counts.where((F.col("n") > customers) & F.col("station").isNotNull())
+    return heavy.select("station", F.ceil(F.col("n") / customers).cast("int").alias("parts"))
+
+
+def join_split(profiles: DataFrame, status: DataFrame, customers: int = CUSTOMERS_A_TASK) -> DataFrame:
+    """The join by shuffle: a station with more than ``customers`` is dealt out in parts of that size.
+
+    Only the status rows of such a station are repeated, once per part; other stations are one part.
+    """
+    parts = stage(station_parts(profiles, customers), "station-parts")
+    # Fewer rows than customers / CUSTOMERS_A_TASK: a thousand for a thousand million.
+    few = F.broadcast(parts)
+    part = F.pmod(F.xxhash64("customer_id"), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = profiles.join(few, F.col("home_station") == F.col("station"), "left").withColumn("part", part)
+    last = F.coalesce(F.col("parts"), F.lit(1)) - 1
+    repeated = status.join(few, F.col("station_name") == F.col("station"), "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), last))
+    )
+    return dealt.drop("station", "parts").alias("p").join(
+        repeated.drop("station", "parts").alias("s"),
+        (F.col("p.home_station") == F.col("s.station_name")) & (F.col("p.part") == F.col("s.part")),
+    )
+
+
 def join_profiles_status(profiles: DataFrame, status: DataFrame) -> DataFrame:
     """Every customer of a station with every status row of that station.
 
     Pass status rows reduced by ``latest_status`` and staged: the result is then
     one row per customer and line, and measuring the status side is cheap. That
-    side is broadcast up to ``BROADCAST_BYTES``. Beyond that the join shuffles,
-    with the customers of a station spread over ``SALTS`` tasks and the station's
-    status rows repeated for each.
+    side is broadcast up to ``BROADCAST_BYTES``. Beyond that the join shuffles, see ``join_split``.
     """
-    profiles = profiles.alias("p")
     status = with_row_id(status)
-    on_station = F.col("p.home_station") == F.col("s.station_name")
     if _row_bytes(status) <= BROADCAST_BYTES:
-        joined = profiles.join(F.broadcast(status.alias("s")), on_station)
+        on_station = F.col("p.home_station") == F.col("s.station_name")
+        joined = profiles.alias("p").join(F.broadcast(status.alias("s")), on_station)
     else:
-        salt = F.pmod(F.xxhash64("customer_id"), F.lit(SALTS)).cast("int")
-        repeated = status.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = profiles.withColumn("salt", salt).alias("p").join(
-            repeated.alias("s"), on_station & (F.col("p.salt") == F.col("s.salt"))
-        )
+        joined = join_split(profiles, status)
     return joined.select(
         *[F.col(f"p.{c}") for c in PROFILE_COLUMNS],
         *[F.col(f"s.{c}") for c in STATUS_COLUMNS],
@@ -131,8 +156,18 @@ def journey_versions(profiles: DataFrame, status: DataFrame, as_of: dt.date | st
     station and line is taken before the join: for one customer the profile's
     time is constant, so the status row that wins there wins after the join too.
     """
+    return _versions(profiles, stage(latest_status(disrupted(status)), "latest-status"), as_of)
+
+
+@contextmanager
+def journey_batch(profiles: DataFrame, status: DataFrame, as_of: dt.date | str) -> Iterator[DataFrame]:
+    """``journey_versions`` for a job that ends inside the block, which leaves nothing behind."""
+    with staged(latest_status(disrupted(status)), "latest-status") as latest:
+        yield _versions(profiles, latest, as_of)
+
+
+def _versions(profiles: DataFrame, latest: DataFrame, as_of: dt.date | str) -> DataFrame:
     good = expect_drop(profiles, profile_rules(as_of))
-    latest = stage(latest_status(disrupted(status)), "latest-status")
     return join_profiles_status(good, latest).withColumns(
         {
             "age": age_years(F.col("date_of_birth"), as_of),

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.fixed import KNOWN_LINE_IDS, RETENTION_DAYS
+from linepulse.fixed import JOURNEY_TAGS, KNOWN_LINE_IDS, RETENTION_DAYS
 from linepulse.operators.counts import counts_after, dated, signed, summary_of_counts
 from linepulse.operators.gold import SUMMARY_KEYS, notification_targets, summary_rules
-from linepulse.operators.journeys import PROFILE_COLUMNS, customer_journeys
-from linepulse.operators.quality import dq_report
+from linepulse.operators.governance import tag_columns
+from linepulse.operators.journeys import KEYS, PROFILE_COLUMNS, SEQUENCE, journey_batch, profile_rules, table_rows
+from linepulse.operators.quality import dq_report, split_by_rules
+from linepulse.operators.upsert import scd1
 from linepulse.sources import keyed
 from linepulse.sources.catalog import (
     BUCKET,
     append,
+    append_once,
     buckets_of,
     ensure_table,
     numbers,
@@ -40,8 +42,10 @@ from linepulse.tables import (
     FEED_QUARANTINE,
     LINE_STATUS,
     NOTIFICATION_TARGETS,
+    PROFILE_REJECTS,
 )
 
+PLATFORM_COLUMNS = ["_inserted_at", "_updated_at", "_delete_at"]
 #: Property of the summary: the day it was made for, once it has all counted journeys.
 SUMMARISED = "platform.summarised_for"
 
@@ -76,14 +80,16 @@ def ingest_landed(
 
     ``checkpoint`` is a folder that remembers what was read. Documents that are no JSON array go
     to the quarantine table with file and reason, or stop the job before anything of their batch
-    is written. The last batch written is noted on the table, so a batch that is run again after a
-    failure is not appended twice.
+    is written. A batch's files carry the name of the stream and the batch's number, so one that is run
+    again after a failure replaces what it had written; the last batch is noted on the table as well.
+    A checkpoint made anew is another stream, whatever its path.
     """
     table = ensure_table(spark, LINE_STATUS, schema, location)
     aside = ensure_table(spark, FEED_QUARANTINE, schema, location)
-    mark = f"platform.ingested.{hashlib.md5(checkpoint.encode()).hexdigest()}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        mark = f"platform.ingested.{stream}"
         noted = {r.key: r.value for r in table_properties(spark, table).collect()}.get(mark, "-1")
         if int(noted) >= batch_id:
             return
@@ -91,9 +97,9 @@ def ingest_landed(
         n = bad.count()
         if n and fail_on_broken:
             raise BrokenFeed(f"{n} documents in {folder} are no JSON array")
-        if n:
-            append(stamp(bad, RETENTION_DAYS["operational"], at="run_ts"), aside, FEED_QUARANTINE)
-        append(flatten_status(batch, station_lines), table, LINE_STATUS)
+        name = f"{stream}-{batch_id}"
+        append_once(stamp(bad, RETENTION_DAYS["operational"], at="run_ts"), aside, FEED_QUARANTINE, name)
+        append_once(flatten_status(batch, station_lines), table, LINE_STATUS, name)
         set_properties(spark, table, {mark: str(batch_id)})
 
     (
@@ -129,7 +135,8 @@ def refresh(
 
     Journeys and targets are updated or inserted by key and never deleted, so those of profiles
     that bronze no longer has stay until retention ends. Only buckets with a changed journey are
-    rewritten; the summary follows from the journeys that changed, and is otherwise not touched
+    rewritten. Profiles that break a rule have no journeys; they go to ``profile_rejects`` with the
+    rules' names, and the counts per rule to its property ``platform.expectations``. The summary follows from the journeys that changed, and is otherwise not touched
     until the day of ``as_of`` changes, since its rows end so many days after that. How many of its
     rows break its rules stands in its ``platform.expectations``.
 
@@ -144,8 +151,14 @@ def refresh(
     journeys = tables[CUSTOMER_JOURNEYS.name]
     if change := keyed.pending(spark, journeys):
         _carry_on(spark, tables, change, as_of)
-    fresh = customer_journeys(profiles, status, as_of, unique_profiles=False)
-    if change := keyed.prepare(fresh, journeys, CUSTOMER_JOURNEYS):
+    with split_by_rules(profiles.select(*PROFILE_COLUMNS, *PLATFORM_COLUMNS), profile_rules(as_of)) as (good, bad, counts):
+        rejects = ensure_table(spark, PROFILE_REJECTS, schema, location)
+        overwrite(tag_columns(bad, JOURNEY_TAGS), rejects, PROFILE_REJECTS)
+        set_properties(spark, rejects, {"platform.expectations": json.dumps(counts)})
+        with journey_batch(good, status, as_of) as versions:
+            fresh = table_rows(scd1(versions, KEYS, SEQUENCE))
+            change = keyed.prepare(fresh, journeys, CUSTOMER_JOURNEYS)
+    if change:
         _carry_on(spark, tables, change, as_of)
     _summarise(spark, tables, as_of, line_ids)
     return {spec.name: rows_of(spark, tables[spec.name]) for spec in (CUSTOMER_JOURNEYS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS)}

@@ -519,6 +519,16 @@ FROM summary"""
         f"""SELECT {PROFILE} FROM profiles WHERE home_station IS NOT NULL
   AND regexp_matches(email, '^[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{{2,}}$')
   AND date_of_birth < {AS_OF} AND date_of_birth > DATE '1900-01-01'"""
+    ),
+    "expect_drop_reasons": of_profiles(
+        f"""SELECT * FROM (
+  SELECT customer_id, concat_ws(',',
+    CASE WHEN home_station IS NOT NULL THEN NULL ELSE 'home_station_not_null' END,
+    CASE WHEN regexp_matches(email, '^[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{{2,}}$')
+      THEN NULL ELSE 'valid_email' END,
+    CASE WHEN date_of_birth < {AS_OF} AND date_of_birth > DATE '1900-01-01'
+      THEN NULL ELSE 'plausible_birth' END) AS broken_rules
+  FROM profiles) r WHERE broken_rules != ''"""
     ),
     "dq_report": of_profiles(
         f"""SELECT rule, rows, failed, failed / CAST(rows AS DOUBLE) AS failed_fraction FROM (
@@ -670,4 +680,54 @@ FROM {source} GROUP BY CAST(_inserted_at AS DATE)"""
   WINDOW w AS (PARTITION BY column_name ORDER BY window_start)) d
 WHERE previous_window IS NOT NULL"""
     ),
+    "summary_by_changes": of_summary("SELECT * FROM summary"),
+    "drift_distribution": of_journeys(
+        """, numbers AS (
+  SELECT date_trunc('day', _updated_at) AS w, unnest(['status_severity', 'age']) AS column_name,
+    unnest([CAST(status_severity AS DOUBLE), CAST(age AS DOUBLE)]) AS x FROM journeys
+), known AS (SELECT * FROM numbers WHERE x IS NOT NULL AND w IS NOT NULL),
+ranges AS (
+  SELECT *, lag(w) OVER o AS v FROM (
+    SELECT column_name, w, min(x) AS lo, max(x) AS hi FROM known GROUP BY ALL) r
+  WINDOW o AS (PARTITION BY column_name ORDER BY w)
+), steps AS (
+  SELECT a.column_name, a.w, a.v, b.lo, b.hi FROM ranges a JOIN ranges b ON a.column_name = b.column_name AND a.v = b.w
+), placed AS (
+  SELECT s.column_name, s.w, s.v, k.w = s.w AS is_now,
+    CASE WHEN x < lo THEN 0 WHEN x > hi THEN 11 WHEN hi > lo THEN least(9, floor((x - lo) / (hi - lo) * 10)) + 1 ELSE 1 END AS bin
+  FROM steps s JOIN known k ON k.column_name = s.column_name AND k.w IN (s.w, s.v)
+), grid AS (
+  SELECT g.*, count(p.bin) FILTER (p.is_now) AS n, count(p.bin) FILTER (NOT p.is_now) AS b
+  FROM (SELECT s.column_name, s.w, s.v, unnest(range(12)) AS bin FROM steps s) g
+  LEFT JOIN placed p ON p.column_name = g.column_name AND p.w = g.w AND p.bin = g.bin
+  GROUP BY ALL
+), shares AS (
+  SELECT *, (n + 0.5) / (sum(n) OVER k + 6) AS p, (b + 0.5) / (sum(b) OVER k + 6) AS q,
+    sum(n) OVER u / CAST(sum(n) OVER k AS DOUBLE) - sum(b) OVER u / CAST(sum(b) OVER k AS DOUBLE) AS apart
+  FROM grid
+  WINDOW k AS (PARTITION BY column_name, w), u AS (PARTITION BY column_name, w ORDER BY bin)
+), categories AS (
+  SELECT date_trunc('day', _updated_at) AS w, unnest(['line_id', 'status_severity_description', 'home_station']) AS column_name,
+    unnest([line_id, status_severity_description, home_station]) AS x FROM journeys
+), counted AS (SELECT column_name, w, x, count(*) AS n FROM categories WHERE x IS NOT NULL AND w IS NOT NULL GROUP BY ALL),
+totals AS (
+  SELECT *, lag(w) OVER o AS v, lag(total) OVER o AS before FROM (
+    SELECT column_name, w, sum(n) AS total FROM counted GROUP BY ALL) t
+  WINDOW o AS (PARTITION BY column_name ORDER BY w)
+), category_pairs AS (
+  SELECT t.column_name, t.w, t.v, x,
+    coalesce(sum(c.n) FILTER (c.w = t.w), 0) / CAST(t.total AS DOUBLE) AS p,
+    coalesce(sum(c.n) FILTER (c.w = t.v), 0) / CAST(t.before AS DOUBLE) AS q
+  FROM totals t JOIN counted c ON c.column_name = t.column_name AND c.w IN (t.w, t.v)
+  WHERE t.v IS NOT NULL GROUP BY t.column_name, t.w, t.v, x, t.total, t.before
+)
+SELECT column_name, w AS window_start, v AS previous_window, round(sum((p - q) * ln(p / q)), 6) AS stability_index,
+  round(max(abs(apart)), 6) AS ks_distance, CAST(NULL AS DOUBLE) AS js_divergence
+FROM shares GROUP BY column_name, w, v
+UNION ALL
+SELECT column_name, w, v, NULL, NULL,
+  round(sum((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+           + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 6)
+FROM category_pairs GROUP BY column_name, w, v"""
+    ),
 }

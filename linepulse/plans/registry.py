@@ -27,11 +27,12 @@ from linepulse.functions.temporal import (
     retention_days,
     retention_stamp,
 )
-from linepulse.operators import gold, governance, journeys, observe, quality, upkeep
+from linepulse.operators import counts, drift, gold, governance, journeys, observe, quality, sketches, upkeep
 from linepulse.operators import upsert as keyed
 from linepulse.plans import serving
 from linepulse.scratch import fresh_path, stage
 from linepulse.sources import adapter, catalog, feed, snapshots
+from linepulse.sources import keyed as keyed_tables
 from linepulse.sources.adapter import AS_OF, NOW, SUPPLIED_LINES, profiles, status, table
 from linepulse.streaming import flows
 from linepulse.tables import (
@@ -557,6 +558,15 @@ def expect_drop(spark, sf_dir):
     )
 
 
+@query
+def expect_drop_reasons(spark, sf_dir):
+    """The profiles that ``expect_drop`` drops, and why."""
+    rules = journeys.profile_rules(AS_OF)
+    marked, _ = quality.judged(profiles(spark, sf_dir), rules, f"reasons-{uuid.uuid4().hex}")
+    rejected = quality.rejected_rows(marked, rules)
+    return rejected.select("customer_id", F.array_join("broken_rules", ",").alias("broken_rules"))
+
+
 @query
 def dq_report(spark, sf_dir):
     return quality.dq_report(profiles(spark, sf_dir), journeys.profile_rules(AS_OF))
@@ -758,3 +768,38 @@ def profile_metrics_summary(spark, sf_dir):
 @query
 def drift_metrics(spark, sf_dir):
     return observe.drift_metrics(profile_metrics(spark, sf_dir))
+
+
+@query
+def profile_sketches(spark, sf_dir):
+    """Every column of the journeys, per week from the sketches of its days; estimates within a stated error."""
+    daily = sketches.profile_sketches(all_journeys(spark, sf_dir), "_updated_at", CUSTOMER_JOURNEYS.column_names)
+    return sketches.sketch_metrics(sketches.merge_windows(daily, "7 days"))
+
+
+@query
+def drift_distribution(spark, sf_dir):
+    """Shape of the journeys' severities and ages, and shares of lines, severities and stations, day against day."""
+    return drift.distribution_drift(
+        all_journeys(spark, sf_dir), "_updated_at", ["status_severity", "age"],
+        ["line_id", "status_severity_description", "home_station"],
+    )
+
+
+@query
+def summary_by_changes(spark, sf_dir):
+    """The summary after the later status rows, from the counts of the earlier ones and signed changes."""
+    people, rows = profiles(spark, sf_dir), status(spark, sf_dir)
+    later = F.col("_updated_at") >= moment(MIDDLE)
+    before = stage(journeys.customer_journeys(people, rows.filter(~later), AS_OF), "journeys")
+    n = CUSTOMER_JOURNEYS.buckets
+    old, new = (
+        catalog.with_bucket(df, journeys.KEYS, n)
+        for df in (before, journeys.customer_journeys(people, rows.filter(later), AS_OF))
+    )
+    pairs = stage(keyed_tables.image_pairs(old, new, journeys.KEYS, ["_updated_at"]), "pairs")
+    images = counts.signed(pairs.drop(catalog.BUCKET))
+    gone = before.join(pairs.where("_old IS NOT NULL").select("_old.customer_id", "_old.line_id"), journeys.KEYS, "left_anti")
+    after = gone.select(before.columns).unionByName(pairs.select("_new.*"))
+    with counts.counts_after(counts.station_counts(before), images, after) as kept:
+        return stage(counts.summary_of_counts(kept, AS_OF), "summary")

@@ -54,6 +54,38 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in found if s.isDirectory()]
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.listStatus(at) if store.exists(at) else []
+    return store, at, [s.getPath() for s in found if s.isFile()]
+
+
+def remove_files(spark: SparkSession, path: str, prefix: str) -> None:
+    """Delete a folder's files whose names begin with ``prefix``."""
+    store, _, files = _files(spark, path)
+    for file in files:
+        if file.getName().startswith(prefix):
+            store.delete(file, False)
+
+
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the data files of a folder to another one, with ``prefix`` before their names."""
+    store, _, files = _files(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    for file in files:
+        if not file.getName().startswith(("_", ".")):
+            moved = spark._jvm.org.apache.hadoop.fs.Path(to, f"{prefix}{file.getName()}")
+            if not store.rename(file, moved):
+                raise OSError(f"{file} could not be moved to {moved}")
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the job that wrote a folder has ended."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

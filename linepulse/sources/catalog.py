@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from linepulse.functions.payload import json_text
-from linepulse.scratch import folders, remove
+from linepulse.scratch import folders, move_files, remove, remove_files
 from linepulse.tables import TableSpec
 
 #: The partition column of bucketed tables; its metadata holds the number of buckets.
@@ -196,6 +196,23 @@ def append(df: DataFrame, table: str, spec: TableSpec) -> None:
     set_properties(df.sparkSession, table, spec.properties)
 
 
+def append_once(df: DataFrame, table: str, spec: TableSpec, name: str) -> None:
+    """Append rows in files that begin with ``name``; files of an earlier try of that name go first.
+
+    The rows are written to a folder that readers pass over, and the finished files are moved out of it.
+    """
+    spark = df.sparkSession
+    home = location_of(spark, table)
+    remove_files(spark, home, f"{name}-")
+    aside = f"{home}/_incoming-{name}"
+    remove(spark, aside)
+    _written(spark, _sorted(conform(df, spec), spec).write, aside)
+    move_files(spark, aside, home, f"{name}-")
+    remove(spark, aside)
+    spark.catalog.refreshTable(table)
+    set_properties(spark, table, spec.properties)
+
+
 def overwrite(df: DataFrame, table: str, spec: TableSpec) -> None:
     """Replace the rows of a table, and its schema where types or tags differ.
 

@@ -49,24 +49,36 @@ def line_records(raw: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row per run and mapped line, with the text of its record or NULL.
 
     ``raw`` holds ``(run_ts, payload)``, the payload being the JSON array of one
-    run. A repeated line counts with its last record. A payload that is no JSON
-    array gives no rows here; ``broken`` finds those. The mapped lines reach the rows as a scalar subquery;
-    the array is never longer than the rows its run has to produce anyway.
+    run. A repeated line counts with its last record; records of lines that are not mapped, or of
+    none, give no row. A payload that is no JSON array gives no rows here; ``broken`` finds those.
+
+    A document is walked once in its own row: its records are sorted by line and last first, the first of
+    each line stays, and the mapped lines without one are added. The mapped lines reach the rows as a
+    scalar subquery; the array is never longer than the rows its run has to produce anyway.
     """
     mapped = pairs.agg(F.collect_set("line_id")).scalar()
+    numbered = F.transform(
+        "records",
+        lambda r, i: F.struct(F.get_json_object(r, "$.id").alias("line_id"), (-i).alias("newest"), r.alias("raw_record")),
+    )
+    # Of equal neighbours in the sorted array the first is the newest.
+    first = lambda e, i: (i == 0) | (F.get("sorted", i - 1)["line_id"] != e["line_id"])
+    # Missing lines, with no record beside them.
+    missing = F.arrays_zip(F.array_except(mapped, F.col("ids")), F.array().cast("array<string>"))
+    record = "array<struct<line_id: string, raw_record: string>>"
     return (
-        raw.select("run_ts", F.reverse(F.from_json("payload", "array<string>")).alias("newest_first"))
-        .filter(F.col("newest_first").isNotNull())
-        .withColumn("ids", F.transform("newest_first", lambda r: F.get_json_object(r, "$.id")))
-        .withColumn("line_id", F.explode(mapped))
+        raw.select("run_ts", F.from_json("payload", "array<string>").alias("records"))
+        .filter(F.col("records").isNotNull())
+        .withColumn("sorted", F.sort_array(F.filter(numbered, lambda e: e["line_id"].isNotNull())))
+        .withColumn("latest", F.filter("sorted", first))
         .select(
             "run_ts",
-            "line_id",
-            F.get(
-                F.col("newest_first"),
-                (F.array_position(F.col("ids"), F.col("line_id")) - 1).cast("int"),
-            ).alias("raw_record"),
+            F.transform("latest", lambda e: e["line_id"]).alias("ids"),
+            F.transform("latest", lambda e: F.struct(e["line_id"], e["raw_record"])).cast(record).alias("found"),
         )
+        .select("run_ts", F.inline(F.concat("found", missing.cast(record))))
+        .join(pairs.select("line_id").distinct(), "line_id", "left_semi")
+        .select("run_ts", "line_id", "raw_record")
     )
 
 

@@ -2,14 +2,16 @@
 
 A micro-batch writes the rows it upserts to a folder of its own. A batch that is
 run again overwrites its folder, so nothing counts twice. The state is the latest
-row per key over the log, whatever order rows arrived in. ``fold`` shortens the
-log for readers. All of it sits below one root, the stream's checkpoint too:
-batch numbers start anew only together with the log.
+row per key over the log, whatever order rows arrived in. ``fold`` writes it out, and
+removes what is folded and what every stream that reads the log has read. All of it sits below one
+root, the stream's checkpoint too: batch numbers start anew only together with the log.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,26 +19,40 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from linepulse.operators.upsert import scd1
-from linepulse.scratch import folders, make_dir, remove, staged
+from linepulse.scratch import folders, is_complete, make_dir, remove
 
 BATCH = "batch_id"
 
 
+class ReaderBehind(RuntimeError):
+    """A stream has not read all of a log that is to be purged."""
+
+
 def log_path(root: str) -> str:
     return f"{root}/log"
 
 
 def upsert_stream(
-    source: DataFrame, root: str, rows_of: Callable[[DataFrame], DataFrame]
+    source: DataFrame,
+    root: str,
+    rows_of: Callable[[DataFrame], AbstractContextManager[DataFrame]],
+    reads: str | None = None,
 ) -> StreamingQuery:
     """Start a stream that writes ``rows_of(batch)`` to the log and ends when caught up.
 
-    ``rows_of`` should return each key once, which keeps the log short.
+    ``rows_of`` should give each key once, which keeps the log short. ``reads`` is the root of the log
+    that is the source: how far it was read is noted there once a batch is written.
     """
-    open_log(source.sparkSession, root)
+    spark = source.sparkSession
+    open_log(spark, root)
+    if reads:
+        _note(spark, reads, root, -1)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows_of(batch).write.mode("overwrite").parquet(f"{log_path(root)}/{BATCH}={batch_id}")
+        with rows_of(batch) as rows:
+            rows.write.mode("overwrite").parquet(f"{log_path(root)}/{BATCH}={batch_id}")
+        if reads and (newest := batch.agg(F.max(BATCH)).first()[0]) is not None:
+            _note(spark, reads, root, newest)
 
     return (
         source.writeStream.foreachBatch(write)
@@ -49,87 +65,87 @@ def upsert_stream(
 def open_log(spark: SparkSession, root: str) -> None:
     """Make an empty log if there is none; readers and streams may start before the first batch."""
     make_dir(spark, log_path(root))
-    _mark(spark, root, -1, "ignore")
-
-
-def _with_batch(schema: StructType) -> StructType:
-    return StructType([*schema.fields]).add(BATCH, "long")
-
-
-def read_log(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(_with_batch(schema)).parquet(log_path(root))
 
 
 def stream_log(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The log as a stream of changes.
+    """The log as a stream of changes, with the batch they came in.
 
     A batch that was run again replaces its files, so a listed file may be gone;
     its rows come with the new file.
     """
     return (
-        spark.readStream.schema(_with_batch(schema))
+        spark.readStream.schema(StructType([*schema.fields]).add(BATCH, "long"))
         .option("ignoreMissingFiles", "true")
         .parquet(log_path(root))
-        .drop(BATCH)
     )
 
 
-def _folded_upto(spark: SparkSession, root: str) -> int:
-    """The last batch that is part of the folded state; -1 before the first fold."""
-    return spark.read.schema("upto long").parquet(f"{root}/folded").agg(F.max("upto")).first()[0]
+def _note(spark: SparkSession, root: str, reader: str, position: int) -> None:
+    """The reader has written all of a batch's rows up to this one, which may still be growing."""
+    make_dir(spark, f"{root}/readers/{hashlib.md5(reader.encode()).hexdigest()}/{position}")
 
 
-def _mark(spark: SparkSession, root: str, upto: int, mode: str) -> None:
-    marks = spark.createDataFrame([(upto,)], "upto long").coalesce(1)
-    marks.write.mode(mode).parquet(f"{root}/folded")
+def positions(spark: SparkSession, root: str) -> list[int]:
+    """The newest batch that each reader of a log has read from; all before it are read whole."""
+    return [
+        max(int(p) for p in folders(spark, f"{root}/readers/{reader}")) for reader in folders(spark, f"{root}/readers")
+    ]
 
 
-def _versions(
-    spark: SparkSession, root: str, schema: StructType, after: int, upto: int | None = None
-) -> DataFrame:
-    """The folded state of batches up to ``after``, and the log folders behind it."""
-    log = read_log(spark, root, schema).filter(F.col(BATCH) > after)
-    if upto is not None:
-        log = log.filter(F.col(BATCH) <= upto)
-    log = log.drop(BATCH)
-    if after < 0:
-        return log
-    return log.unionByName(spark.read.schema(schema).parquet(f"{root}/state/upto={after}"))
+def _batches(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(f.split("=")[1]) for f in folders(spark, log_path(root)) if f.startswith(BATCH))
+
+
+def _states(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """Last batch and revision of each state that was written to its end, in order."""
+    found = [f for f in folders(spark, f"{root}/state") if is_complete(spark, f"{root}/state/{f}")]
+    return sorted(tuple(map(int, f.split("=")[1].split("-"))) for f in found)
+
+
+def _state_path(root: str, state: tuple[int, int]) -> str:
+    return f"{root}/state/upto={state[0]}-{state[1]}"
+
+
+def _versions(spark: SparkSession, root: str, schema: StructType, upto: int | None = None) -> DataFrame:
+    """The newest state, and the log folders behind it."""
+    states = _states(spark, root)
+    after = states[-1][0] if states else -1
+    paths = [f"{log_path(root)}/{BATCH}={b}" for b in _batches(spark, root) if b > after and (upto is None or b <= upto)]
+    paths += [_state_path(root, s) for s in states[-1:]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def current_rows(
-    spark: SparkSession,
-    root: str,
-    schema: StructType,
-    keys: Sequence[str],
-    sequence_by: Sequence[str],
+    spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], sequence_by: Sequence[str]
 ) -> DataFrame:
     """The latest row per key: the last fold, and only the log folders after it."""
-    open_log(spark, root)
-    return scd1(_versions(spark, root, schema, _folded_upto(spark, root)), keys, sequence_by)
+    return scd1(_versions(spark, root, schema), keys, sequence_by)
 
 
 def fold(
-    spark: SparkSession,
-    root: str,
-    schema: StructType,
-    keys: Sequence[str],
-    sequence_by: Sequence[str],
+    spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], sequence_by: Sequence[str]
 ) -> int:
-    """Write the state of all finished batches; its mark is set after the write ends.
+    """Write the state of all finished batches, and remove what nobody needs any more.
 
-    The newest batch may still be run again, so it stays in the log. Returns the
-    last folded batch.
+    The newest batch may still be run again, so it stays in the log, and so does what a reader has not
+    read; a log that nothing reads keeps its folders for a reader to come. Returns the last folded batch.
     """
-    done = _folded_upto(spark, root)
-    newest = read_log(spark, root, schema).agg(F.max(BATCH)).first()[0]
-    if newest is None or newest - 1 <= done:
-        return done
-    upto = newest - 1
-    rows = scd1(_versions(spark, root, schema, done, upto), keys, sequence_by)
-    rows.write.mode("overwrite").parquet(f"{root}/state/upto={upto}")
-    _mark(spark, root, upto, "append")
-    return upto
+    states, batches = _states(spark, root), _batches(spark, root)
+    done = states[-1][0] if states else -1
+    if batches and batches[-1] - 1 > done:
+        done = batches[-1] - 1
+        rows = scd1(_versions(spark, root, schema, done), keys, sequence_by)
+        rows.write.mode("overwrite").parquet(_state_path(root, (done, 0)))
+    read = min(positions(spark, root), default=-1)
+    _remove(spark, root, [b for b in batches if b <= done and b < read], states[:-1])
+    return done
+
+
+def _remove(spark: SparkSession, root: str, batches: list[int], states: list[tuple[int, int]]) -> None:
+    for batch in batches:
+        remove(spark, f"{log_path(root)}/{BATCH}={batch}")
+    for state in states:
+        remove(spark, _state_path(root, state))
 
 
 def purge(
@@ -142,22 +158,16 @@ def purge(
 ) -> None:
     """Leave only ``kept`` rows in log and state, and no folder that is folded.
 
-    Call it while neither this stream nor one that reads its log is running, and after the reader
-    has caught up: what it has not read yet is gone from the log. Batches keep their numbers.
+    Call it while neither this stream nor one that reads its log is running. It refuses with
+    ``ReaderBehind`` while a reader has rows of the log to read. Batches keep their numbers.
     """
-    open_log(spark, root)
-    done = _folded_upto(spark, root)
-    newest = read_log(spark, root, schema).agg(F.max(BATCH)).first()[0]
-    upto = done if newest is None else max(done, newest)
-    if upto < 0:
+    states, batches = _states(spark, root), _batches(spark, root)
+    if batches and min(positions(spark, root), default=batches[-1]) < batches[-1]:
+        raise ReaderBehind(f"let the streams that read {log_path(root)} catch up first")
+    if not states and not batches:
         return
-    rows = kept(scd1(_versions(spark, root, schema, done), keys, sequence_by))
-    state = f"{root}/state/upto={upto}"
-    with staged(rows, "kept") as clean:
-        clean.write.mode("overwrite").parquet(state)
-    _mark(spark, root, upto, "append")
-    for old in folders(spark, f"{root}/state"):
-        if not state.endswith(old):
-            remove(spark, f"{root}/state/{old}")
-    for old in folders(spark, log_path(root)):
-        remove(spark, f"{log_path(root)}/{old}")
+    done, revision = states[-1] if states else (-1, 0)
+    new = (batches[-1], 0) if batches and batches[-1] > done else (done, revision + 1)
+    rows = kept(scd1(_versions(spark, root, schema), keys, sequence_by))
+    rows.write.mode("overwrite").parquet(_state_path(root, new))
+    _remove(spark, root, batches, states)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 from linepulse.fixed import JOURNEY_TAGS, TARGET_TAGS, TS
 from linepulse.operators.gold import notification_targets
 from linepulse.operators.governance import tag_columns
-from linepulse.operators.journeys import KEYS, SEQUENCE, journey_versions, table_rows
+from linepulse.operators.journeys import KEYS, SEQUENCE, journey_batch, table_rows
 from linepulse.operators.upkeep import kept
 from linepulse.operators.upsert import scd1
 from linepulse.sources.catalog import ensure_table, overwrite, rows_of
@@ -60,8 +61,10 @@ def stream_journeys(
 ) -> StreamingQuery:
     """Upsert the journeys of each batch of status rows; profiles are read anew each time."""
 
-    def rows_of(batch: DataFrame) -> DataFrame:
-        return journey_versions(profiles(), batch, as_of).select(JOURNEYS.names)
+    @contextmanager
+    def rows_of(batch: DataFrame) -> Iterator[DataFrame]:
+        with journey_batch(profiles(), batch, as_of) as rows:
+            yield rows.select(JOURNEYS.names)
 
     return upsert_stream(status, root, rows_of)
 
@@ -75,12 +78,13 @@ def stream_notifications(
     """
     order = ["_status_updated_at", "_status_row"]
 
-    def rows_of(batch: DataFrame) -> DataFrame:
+    @contextmanager
+    def rows_of(batch: DataFrame) -> Iterator[DataFrame]:
         narrow = notification_targets(batch, as_of, extra=order).select(TARGETS.names)
-        return scd1(narrow, KEYS, SEQUENCE)
+        yield scd1(narrow, KEYS, SEQUENCE)
 
     open_log(spark, journeys_root)
-    return upsert_stream(stream_log(spark, journeys_root, JOURNEYS), root, rows_of)
+    return upsert_stream(stream_log(spark, journeys_root, JOURNEYS), root, rows_of, journeys_root)
 
 
 def current_journeys(spark: SparkSession, root: str) -> DataFrame:

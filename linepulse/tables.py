@@ -182,6 +182,20 @@ FEED_QUARANTINE = TableSpec(
     freshness_sla="1d",
 )
 
+# Profiles that broke a rule and therefore have no journeys, of the last refresh.
+PROFILE_REJECTS = TableSpec(
+    name="profile_rejects",
+    columns=(
+        *_PROFILE,
+        ("broken_rules", "array<string>", "Names of the rules"),
+        *_platform(),
+    ),
+    comment="Profiles without journeys, and the rules they break; holds personal data",
+    purpose="profile",
+    freshness_sla="1d",
+    tags=JOURNEY_TAGS,
+)
+
 ALL_TABLES = (
     LINE_STATUS, CUSTOMER_PROFILES, CUSTOMER_JOURNEYS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS,
 )

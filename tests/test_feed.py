@@ -1,9 +1,11 @@
 """Feed documents written by hand."""
 
 import json
+import time
 
 from conftest import at
 
+from linepulse.sources import feed
 from linepulse.sources.feed import flatten_status
 
 STATIONS = [("North", ["red", "blue"]), ("South", ["red"]), ("East", ["green", "grey"])]
@@ -84,3 +86,17 @@ def test_empty_feed_gives_every_pair_and_broken_feed_none(spark):
     df = flat(spark, "[]", "not json", None)
     assert df.count() == 5
     assert {r.status_severity for r in df.collect()} == {-1}
+
+
+def test_large_documents_take_linear_time(spark):
+    """10,000 records, half of them repeated, and 10,000 mapped lines."""
+    records = [{"id": f"l{i % 5000}", "name": f"n{i}"} for i in range(10_000)] + [{"name": "no id"}, None]
+    raw = spark.createDataFrame([(at("2024-05-01"), json.dumps(records))] * 2, "run_ts timestamp_ntz, payload string")
+    pairs = spark.range(10_000).selectExpr("concat('station', id % 9) AS station_name", "concat('l', id + 2500) AS line_id")
+    started = time.time()
+    found = feed.line_records(raw, pairs).collect()
+    assert time.time() - started < 60
+    assert len(found) == 20_000
+    named = {r.line_id: r.raw_record and json.loads(r.raw_record)["name"] for r in found}
+    assert named["l2500"] == "n7500" and named["l4999"] == "n9999"
+    assert named["l5000"] is None and named["l12499"] is None

@@ -53,6 +53,36 @@ def test_only_new_documents_are_appended(spark, landing, schema, tmp_path):
     assert ingest(spark, landing, schema, tmp_path).count() == 6
 
 
+@pytest.mark.parametrize("at_call", ["set_properties", "append_once"])
+def test_a_batch_that_failed_is_appended_once(spark, landing, schema, tmp_path, monkeypatch, at_call):
+    """Stopped between append and note, and between quarantine and append."""
+    (landing / "cut.json").write_text(GOOD[:-3])
+    real, seen = getattr(medallion, at_call), []
+
+    def stopping(*args, **kwargs):
+        seen.append(args)
+        if at_call == "set_properties" or len(seen) == 2:
+            raise RuntimeError("stopped")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(medallion, at_call, stopping)
+    with pytest.raises(Exception, match="stopped"):
+        ingest(spark, landing, schema, tmp_path)
+    monkeypatch.undo()
+    assert ingest(spark, landing, schema, tmp_path).count() == 3
+    assert spark.table(f"{schema[0]}.feed_quarantine").count() == 1
+    assert ingest(spark, landing, schema, tmp_path).count() == 3
+    assert "_incoming" not in str(changelog.folders(spark, catalog.location_of(spark, f"{schema[0]}.line_status")))
+
+
+def test_a_new_checkpoint_at_the_old_path_reads_all(spark, landing, schema, tmp_path):
+    assert ingest(spark, landing, schema, tmp_path).count() == 3
+    (landing / "2.json").write_text(GOOD)
+    assert ingest(spark, landing, schema, tmp_path).count() == 6
+    (tmp_path / "read").rename(tmp_path / "lost")
+    assert ingest(spark, landing, schema, tmp_path).count() == 12
+
+
 def test_broken_documents_are_set_aside(spark, landing, schema, tmp_path):
     (landing / "cut.json").write_text(GOOD[:-3])
     (landing / "error.json").write_text('{"status": 429}')
@@ -119,6 +149,14 @@ def test_refresh_updates_and_inserts_but_never_deletes(spark, landing, schema, t
     props = {r.key: r.value for r in catalog.table_properties(spark, f"{schema[0]}.disruption_summary").collect()}
     counts = json.loads(props["platform.expectations"])
     assert counts == {"rows": 2, "disruption_date_not_null": 0, "valid_line_id": 1}
+    refresh("3", "")  # customer "" has the address a@b.co: no rule is broken
+    broken = people(spark, "9").withColumn("email", F.lit("none"))
+    medallion.refresh(medallion.replace_profiles(broken, *schema), status, schema[0], "2024-06-01", schema[1])
+    rejects = f"{schema[0]}.profile_rejects"
+    assert [(r.customer_id, r.broken_rules) for r in spark.table(rejects).collect()] == [("9", ["valid_email"])]
+    props = {r.key: r.value for r in catalog.table_properties(spark, rejects).collect()}
+    assert json.loads(props["platform.expectations"])["valid_email"] == 1
+    assert tags_of(spark.table(rejects))["email"] == "class.email_address"
 
 
 def test_overwrite_keeps_comment_and_rows(spark, schema):

@@ -168,3 +168,24 @@ def test_status_filter_reaches_the_files(spark, people, tmp_path):
     plan = J.latest_status(J.disrupted(bronze))._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(status_severity,10)" in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_heavy_stations_are_dealt_out(spark):
+    """A third of all customers at one station: no task is far above the median, and rows are those of the broadcast."""
+    people = adapter.profiles(spark, SF).limit(1).crossJoin(spark.range(30_000)).withColumns(
+        {
+            "customer_id": F.col("id").cast("string"),
+            "home_station": F.when(F.col("id") % 3 == 0, "Hub").otherwise(F.concat(F.lit("S"), F.col("id") % 40)),
+        }
+    ).drop("id")
+    names = ["Hub", *(f"S{i}" for i in range(40)), "Nobody"]
+    one = J.with_row_id(adapter.status(spark, SF)).limit(2)
+    status = one.crossJoin(spark.createDataFrame([(n,) for n in names], "name string")).withColumn("station_name", F.col("name")).drop("name")
+    parts = {r.station: r.parts for r in J.station_parts(people, 1000).collect()}
+    assert parts == {"Hub": 10}
+    split = J.join_split(people, status, 1000)
+    sizes = [r["count"] for r in split.groupBy("p.home_station", "p.part").count().collect()]
+    assert len(sizes) > 40 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+    got = split.select("p.customer_id", "s.station_name", "s.line_id", "s.row_id")
+    on_station = people.join(F.broadcast(status), people.home_station == status.station_name)
+    assert rows(got) == rows(on_station.select("customer_id", "station_name", "line_id", "row_id"))

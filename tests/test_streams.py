@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from linepulse.operators import gold
 from linepulse.operators.journeys import customer_journeys, journey_versions
+from linepulse.scratch import make_dir, shared_dir
 from linepulse.sources import adapter
 from linepulse.sources.adapter import AS_OF
-from linepulse.streaming import flows
+from linepulse.streaming import changelog, flows
 from linepulse.streaming.changelog import log_path
 
 
@@ -97,3 +98,65 @@ def test_a_table_in_a_folder_streams_through_the_glob(spark, tmp_path):
         availableNow=True
     ).start(out, format="parquet").awaitTermination()
     assert rows(spark.read.parquet(out)) == rows(status)
+
+
+def small_log(spark, root, batch, keys):
+    """A finished batch of the journeys' log."""
+    rows = journey_versions(adapter.profiles(spark, SF).where(F.col("customer_id").isin(keys)), adapter.status(spark, SF), AS_OF)
+    rows.select(flows.JOURNEYS.names).coalesce(1).write.mode("overwrite").parquet(f"{log_path(root)}/batch_id={batch}")
+
+
+def test_the_log_holds_what_is_unread_and_the_newest(spark, tmp_path):
+    silver, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
+    changelog.open_log(spark, silver)
+    small_log(spark, silver, 0, ["1", "2", "4"])
+    files = list((tmp_path / "silver" / "log" / "batch_id=0").glob("*.parquet"))
+
+    def more(first, last):
+        for i in range(first, last):
+            folder = tmp_path / "silver" / "log" / f"batch_id={i}"
+            folder.mkdir()
+            for f in files:
+                (folder / f.name).write_bytes(f.read_bytes())
+
+    more(1, 100)
+    assert flows.fold_journeys(spark, silver) == 98
+    assert len(changelog.folders(spark, log_path(silver))) == 100  # nobody reads it yet
+    flows.stream_notifications(spark, silver, gold_root, AS_OF).awaitTermination()
+    assert changelog.positions(spark, silver) == [99]
+    more(100, 200)
+    assert flows.fold_journeys(spark, silver) == 198
+    left = sorted(int(f.split("=")[1]) for f in changelog.folders(spark, log_path(silver)))
+    assert left == list(range(99, 200))  # the reader is at 99
+    with pytest.raises(changelog.ReaderBehind):
+        flows.purge_journeys(spark, silver, "2024-06-01 00:00:00")
+    flows.stream_notifications(spark, silver, gold_root, AS_OF).awaitTermination()
+    assert flows.fold_journeys(spark, silver) == 198
+    assert changelog.folders(spark, log_path(silver)) == ["batch_id=199"]
+    assert len(changelog.folders(spark, f"{silver}/state")) == 1
+    wanted = rows(flows.current_journeys(spark, silver))
+    assert wanted
+    flows.purge_journeys(spark, silver, "2024-06-01 00:00:00")
+    flows.purge_journeys(spark, silver, "2024-06-01 00:00:00")
+    assert rows(flows.current_journeys(spark, silver)) == wanted
+    assert changelog.folders(spark, log_path(silver)) == []
+
+
+def test_a_state_that_was_not_written_to_its_end_does_not_count(spark, world):
+    folder, status, people, silver, _ = world
+    run(spark, folder, status, people, silver)
+    wanted = rows(flows.current_journeys(spark, silver))
+    make_dir(spark, f"{silver}/state/upto=9-0")
+    assert rows(flows.current_journeys(spark, silver)) == wanted
+    with pytest.raises(Exception, match="boom"):
+        changelog.purge(spark, silver, flows.JOURNEYS, flows.KEYS, flows.SEQUENCE, lambda df: df.where(F.raise_error(F.lit("boom")).cast("boolean")))
+    assert rows(flows.current_journeys(spark, silver)) == wanted
+
+
+def test_streams_leave_no_staged_rows(spark, world):
+    folder, status, people, silver, gold_root = world
+    place = f"{shared_dir(spark)}/linepulse"
+    before = set(changelog.folders(spark, place))
+    run(spark, folder, status, people, silver)
+    flows.stream_notifications(spark, silver, gold_root, AS_OF).awaitTermination()
+    assert set(changelog.folders(spark, place)) <= before
