@@ -8,14 +8,17 @@ follow one another, with two shuffles and without a join:
 1. texts become packs of numbers and a dictionary of marked words (``packs``); a dictionary is dealt
    over buckets by the words' hashes,
 2. a bucket segments each distinct marked word of the corpus once and answers every pack,
-3. a pack puts the ids of its texts together by position and decodes them.
+3. the numbers, made once more from the texts, meet the answers: a pack puts the ids of its texts
+   together by position and decodes them. Making numbers twice costs less than carrying them through
+   the shuffle of the words.
 
 A frequent word costs one entry per pack, however often it occurs, so no bucket grows with it.
 A task holds one pack and one bucket's distinct words. Texts of a model whose pieces do cross markers,
 or whose normalizer does more than mark blanks, are one chunk each; the results are the same.
 
-Packs are named by their place and by what they hold, and are checked to be whole, so a task that is repeated over rows in
-another order fails the job rather than mixing two versions.
+Rows are sorted within their partition first, so both times, and in a repeated task, packs are alike.
+They are named by what they hold and checked to be whole: a table whose partitions
+change between two readings fails the job rather than mixing two versions.
 
 A null text is an empty one: no ids, empty text. Repeated rows, null and repeated ids give a row each.
 U+2581 in a text is a marker like a blank's and is decoded to a blank, as the library does. An empty
@@ -32,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,40 +92,43 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
-def _packed(path: str, buckets: int):
-    """Step 1: ``(doc_id, text)`` to packs and their dictionaries, by bucket."""
+def _packed(path: str, buckets: int, kind: int):
+    """Step 1: ``(doc_id, text)`` to the dictionaries of packs, by bucket, or to the numbers of packs."""
 
-    def rows(pack: Pack, number: int) -> Iterator[pa.RecordBatch]:
+    def rows(pack: Pack) -> Iterator[pa.RecordBatch]:
         chunks, counts, flat = pack.ranked()
         ids = np.array([i or 0 for (i,) in pack.rows], np.int64)
         known = np.array([i is not None for (i,) in pack.rows], np.int64)
         texts = [shrunk(flat), shrunk(counts), shrunk(np.concatenate([ids, known]))]
         words = [c.encode() for c in chunks]
-        digest = hashlib.sha256(b"".join([*texts, *words])).hexdigest()[:32]
-        name = f"{TaskContext.get().partitionId()}-{number}-{digest}"
-        at = np.fromiter((xxhash.xxh32_intdigest(w) for w in words), np.int64, len(words)) % buckets
-        order = np.argsort(at, kind="stable")
-        ends = np.searchsorted(at[order], np.arange(buckets + 1))
-        table = [[int(digest[:8], 16) % buckets, name, _TEXTS, *texts]]
-        for b in range(buckets):
-            mine = order[ends[b] : ends[b + 1]]
-            if len(mine):
+        name = hashlib.sha256(b"".join([*texts, *words])).hexdigest()[:32]
+        table = []
+        if kind == _TEXTS:
+            table.append([0, name, _TEXTS, *texts])
+        else:
+            at = np.fromiter((xxhash.xxh32_intdigest(w) for w in words), np.int64, len(words)) % buckets
+            order = np.argsort(at, kind="stable")
+            ends = np.searchsorted(at[order], np.arange(buckets + 1))
+            for b in np.unique(at).tolist():
+                mine = order[ends[b] : ends[b + 1]]
                 held = [words[i] for i in mine.tolist()]
                 sizes = np.fromiter(map(len, held), np.int32, len(held))
                 body = zstandard.ZstdCompressor(level=1).compress(b"".join(held))
                 table.append([b, name, _WORDS, shrunk(np.diff(mine, prepend=0)), shrunk(sizes), body])
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*table, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+        if table:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*table, strict=True), _SCHEMA, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held, number = model(path), Pack(), 0
+        of, held = model(path), Pack()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 held.add((doc_id,), of.chunks(text.as_py() or ""))
                 if held.full:
-                    yield from rows(held, number)
-                    held, number = Pack(), number + 1
+                    yield from rows(held)
+                    held = Pack()
         if held.rows:
-            yield from rows(held, number)
+            yield from rows(held)
 
     return pack
 
@@ -134,21 +139,20 @@ def _cut(body: bytes, sizes: np.ndarray) -> list[str]:
 
 
 def _segmented(path: str):
-    """Step 2: dictionaries, sorted by bucket, to the ids of their words; packs go through."""
+    """Step 2: dictionaries, sorted by bucket, to the ids of their words."""
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, at, known = model(path), None, {}
         for batch in batches:
             for row in batch.to_pylist():
-                if row["kind"] == _WORDS:
-                    if row["bucket"] != at:
-                        at, known = row["bucket"], {}
-                    words = _cut(row["body"], grown(row["lengths"]))
-                    new = [w for w in words if w not in known]
-                    known.update(zip(new, (np.array(x, np.int32).tobytes() for x in of.segment(new)), strict=True))
-                    ids = [known[w] for w in words]
-                    row["lengths"] = shrunk(np.fromiter(map(len, ids), np.int32, len(ids)) // 4)
-                    row["body"] = shrunk(np.frombuffer(b"".join(ids), np.int32))
+                if row["bucket"] != at:
+                    at, known = row["bucket"], {}
+                words = _cut(row["body"], grown(row["lengths"]))
+                new = [w for w in words if w not in known]
+                known.update(zip(new, (np.array(x, np.int32).tobytes() for x in of.segment(new)), strict=True))
+                ids = [known[w] for w in words]
+                row["lengths"] = shrunk(np.fromiter(map(len, ids), np.int32, len(ids)) // 4)
+                row["body"] = shrunk(np.frombuffer(b"".join(ids), np.int32))
                 yield pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
     return segment
@@ -163,9 +167,10 @@ def _assembled(path: str):
     def texts(row: dict, answers: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         flat, counts, rows = grown(row["codes"]), grown(row["lengths"]).astype(np.int64), grown(row["body"])
         codes, lengths, ids = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*answers, strict=True)) if answers else (np.empty(0, np.int64),) * 3
-        if not np.array_equal(np.sort(codes), np.arange(flat.max(initial=-1) + 1)):
+        # Two packs of the same rows have one name, and the same answers twice.
+        if not np.array_equal(np.unique(codes), np.arange(flat.max(initial=-1) + 1)):
             raise RuntimeError(f"pack {row['pack']} is not whole: its rows changed while the job ran")
-        start, length = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
+        start, length = np.empty((2, flat.max(initial=-1) + 1), np.int64)
         start[codes.astype(np.int64)] = np.cumsum(lengths) - lengths
         length[codes.astype(np.int64)] = lengths
         ids = ids.astype(np.int32)
@@ -206,8 +211,10 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    packs = rows.mapInArrow(_packed(path, BUCKETS * parts), _ROWS)
-    dealt = packs.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket", "kind")
+    rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"))
+    words = rows.mapInArrow(_packed(path, BUCKETS * parts, _WORDS), _ROWS)
+    dealt = words.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
     answered = dealt.mapInArrow(_segmented(path), _ROWS)
-    back = answered.repartition(parts, "pack").sortWithinPartitions("pack", "kind")
+    texts = rows.mapInArrow(_packed(path, BUCKETS * parts, _TEXTS), _ROWS)
+    back = answered.union(texts).repartition(parts, "pack").sortWithinPartitions("pack", "kind")
     return back.mapInArrow(_assembled(path), "doc_id long, ids array<int>, text string")

@@ -55,6 +55,14 @@ def test_many_packs(frame, chunks):
     assert sorted(((r.doc_id, r.ids, r.text) for r in got), key=repr) == expected(rows)
 
 
+def test_packs_of_the_same_rows(frame):
+    same = [(1, "a text"), (None, "of no id")] * 20
+    docs = frame(same, "doc_id long, text string").coalesce(1)
+    docs = docs.union(docs).union(docs)
+    got = pieces.encode_decode(docs, MODEL).collect()
+    assert sorted(((r.doc_id, r.ids, r.text) for r in got), key=repr) == expected(same * 3)
+
+
 def test_empty(frame):
     assert pieces.encode_decode(frame([], "doc_id long, text string"), MODEL).count() == 0
 
