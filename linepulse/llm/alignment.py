@@ -2,7 +2,7 @@
 
 Both read the same bytes. Offsets where tokens of both end cut the text into groups, and every token of
 a group is linked with every token of the other side in it. Where tokens agree one to one, the end arrays
-are equal along a diagonal: the index of the one is that of the other plus a shift. ``cuts`` probes such a
+are equal along a diagonal: the index of the one is that of the other plus a shift. ``stretches`` probes such a
 stretch in steps that double while the arrays compare equal and halve at a difference, so a stretch is
 passed in a few comparisons. Where the ends differ, the side that is behind moves on until both end
 together; that closes an irregular group, and the shift is taken anew.
@@ -29,6 +29,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ _CUT = re.compile(r"(?<![ ▁])(?= [^\s])")
 _UNSURE = re.compile(r" (?:\s|\Z)|▁ ")
 #: Chunks that are put together at a time, and pairs of one group that are made at a time.
 _BLOCK = 250_000
+#: Chunks that are encoded as one text.
+_TOGETHER = 1000
 #: Printable bytes of Latin-1 that byte-level vocabularies write as they are; the others from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 
@@ -71,7 +74,7 @@ class Pair:
         ]
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_text, self.b_text = [str(i) for i in range(size)], [str(i) for i in range(len(self.b_bytes))]
+        self.names = [f"{i}{sign}" for sign in ",|;" for i in range(max(size, len(self.b_bytes)))]
         setup = json.loads(self.a.to_str())
         split = setup["pre_tokenizer"] or {}
         # The usual byte-level split never joins a blank that a letter or sign follows with what is before it.
@@ -90,10 +93,53 @@ class Pair:
             for part in slices(text, _CUT):
                 yield [" " + c for c in part[1:].split(" ")]
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each chunk on both sides; a chunk begins with a blank, which B puts there itself."""
+    def encode(self, chunks: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+        """For both sides the number of ids of each chunk, where they begin, and the ids; and which chunks come back whole.
+
+        Chunks are encoded many at a time, one behind another as in a text, and told apart by their bytes.
+        Those that are not whole, or would join what follows, are done alone.
+        """
+        if not self.apart:
+            return self._alone(chunks)
+        alone = [i for i, c in enumerate(chunks) if c[-1] == " " or pieces.MARKER in c]
+        lone = set(alone)
+        rest = np.array([i for i in range(len(chunks)) if i not in lone], np.int64)
+        sides, whole = self._alone([chunks[i] for i in alone])
+        held = [chunks[i] for i in rest.tolist()]
+        alone = np.array(alone, np.int64)
+        texts = ["".join(held[i : i + _TOGETHER]) for i in range(0, len(held), _TOGETHER)]
+        a = chain.from_iterable(x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False))
+        b = chain.from_iterable(self.b.of.encode([t[1:] for t in texts], num_threads=1) if texts else ())
+        ends = np.cumsum(np.fromiter((len(c.encode()) for c in held), np.int64, len(held)))
+        out = []
+        for ids, size, (length, start, values) in zip((a, b), (self.a_size, self.b_size), sides, strict=True):
+            found = np.fromiter(ids, np.int64)
+            at = np.cumsum(size[found])
+            last = np.searchsorted(at, ends)
+            if len(ends) and (len(at) <= last[-1] or not np.array_equal(at[last], ends)):
+                return self._alone(chunks)
+            lengths, starts = np.empty((2, len(chunks)), np.int64)
+            lengths[rest] = np.diff(last + 1, prepend=0)
+            starts[rest] = last + 1 - lengths[rest]
+            lengths[alone], starts[alone] = length, start + len(found)
+            out.append((lengths, starts, np.concatenate([found, values])))
+        data = "".join(held).encode()
+        for (_, _, values), (_, _, extra), names in zip(out, sides, (self.a_bytes, self.b_bytes), strict=True):
+            if b"".join(map(names.__getitem__, values[: len(values) - len(extra)].tolist())) != data:
+                return self._alone(chunks)
+        every = np.ones(len(chunks), bool)
+        every[alone] = whole
+        return out, every
+
+    def _alone(self, chunks: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+        """Each chunk by itself; a chunk begins with a blank, which B puts there itself."""
         a = [x.ids for x in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        return a, self.b.segment([c[1:] for c in chunks])
+        sides, whole = [], np.ones(len(chunks), bool)
+        for ids, names in ((a, self.a_bytes), (self.b.segment([c[1:] for c in chunks]), self.b_bytes)):
+            length = np.fromiter(map(len, ids), np.int64, len(ids))
+            sides.append((length, np.cumsum(length) - length, np.fromiter(chain.from_iterable(ids), np.int64, int(length.sum()))))
+            whole &= np.array([b"".join(map(names.__getitem__, x)) == c.encode() for x, c in zip(ids, chunks, strict=True)], bool)
+        return sides, whole
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -105,16 +151,21 @@ def pair(a: str, b: str) -> Pair:
     return _PAIRS[a, b]
 
 
-def cuts(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """For each group the number of tokens up to its end, on both sides; end arrays with the same last end."""
+def stretches(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """The groups of two end arrays with the same last end, in stretches.
+
+    For each stretch the numbers of tokens up to its end, on both sides, and how many groups it has: many
+    of one token on each side, or a single irregular one.
+    """
     to_a: list[int] = []
     to_b: list[int] = []
+    groups: list[int] = []
     i = j = 0
     n = len(a)
     while i < n:
         if a[i] == b[j]:
             # One to one along the shift j - i: probe ahead, twice as far each time.
-            begin, step = i, 1
+            begin, step = i, 2
             i += 1
             j += 1
             while a[i : i + step] == b[j : j + step] and i < n:
@@ -128,8 +179,7 @@ def cuts(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                     if a[i : i + step] == b[j : j + step]:
                         i += step
                         j += step
-            to_a.extend(range(begin + 1, i + 1))
-            to_b.extend(range(j - i + begin + 1, j + 1))
+            groups.append(i - begin)
         else:
             x, y = a[i], b[j]
             while x != y:
@@ -141,22 +191,30 @@ def cuts(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                     y = b[j]
             i += 1
             j += 1
-            to_a.append(i)
-            to_b.append(j)
-    return to_a, to_b
+            groups.append(1)
+        to_a.append(i)
+        to_b.append(j)
+    return to_a, to_b, groups
 
 
-def _written(a: list[str], b: list[str], to_a: list[int], to_b: list[int]) -> str:
-    """Groups as text: ``a1,a2|b1;a3|b2,b3``."""
-    out = []
-    i = j = 0
-    for x, y in zip(to_a, to_b, strict=True):
-        if x - i == 1 and y - j == 1:
-            out.append(f"{a[i]}|{b[j]}")
-        else:
-            out.append(f"{','.join(a[i:x])}|{','.join(b[j:y])}")
-        i, j = x, y
-    return ";".join(out)
+def cuts(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """For each group the number of tokens up to its end, on both sides."""
+    to_a, to_b, groups = (np.array(x, np.int64) for x in stretches(a, b))
+    # Inside a stretch of one-token groups both sides go up by one.
+    return places(to_a - groups + 1, groups), places(to_b - groups + 1, groups)
+
+
+def _written(names: list[str], a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> str:
+    """Groups as text, ``a1,a2|b1;a3|b2,b3``; ``names`` has each id with each of the signs that may follow."""
+    size = len(names) // 3
+    m, n = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+    after_a, after_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    after_a[to_a - 1], after_b[to_b - 1] = size, 2 * size
+    line = np.empty(len(a) + len(b), np.int64)
+    # Before a token of A stand all B tokens of earlier groups; before one of B the A tokens up to its own.
+    line[np.arange(len(a)) + np.repeat(to_b - n, m)] = a + after_a
+    line[np.arange(len(b)) + np.repeat(to_a, n)] = b + after_b
+    return "".join(map(names.__getitem__, line.tolist()))[:-1]
 
 
 def _linked(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,25 +270,19 @@ def _aligned(a_path: str, b_path: str, written: Callable[[str], str]):
     def rows(pack: Pack, number: int) -> pa.RecordBatch:
         of = pair(a_path, b_path)
         chunks, counts, flat = pack.ranked()
-        sides = []
-        for ids in of.encode(chunks):
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            values = np.fromiter((x for y in ids for x in y), np.int64, int(length.sum()))
-            sides.append((length, np.cumsum(length) - length, values))
+        sides, whole = of.encode(chunks)
         ends = np.append(0, np.cumsum(counts.astype(np.int64)))
         columns: dict[str, list] = {c: [] for c in ("doc_ids", *_FIGURES, "groups")}
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for t, (doc_id, data) in enumerate(pack.rows):
+        for t, (doc_id,) in enumerate(pack.rows):
             here = flat[ends[t] : ends[t + 1]]
-            a, b = (values[places(start[here], length[here])] for length, start, values in sides)
-            names_a, names_b = a.tolist(), b.tolist()
-            whole = b" " + data
-            if not data or b"".join(map(of.a_bytes.__getitem__, names_a)) != whole or b"".join(map(of.b_bytes.__getitem__, names_b)) != whole:
+            if not len(here) or not whole[here].all():
                 line, figures, links = "", [0, 0, 0, 0], (np.empty(0, np.int64), np.empty(0, np.int64))
             else:
+                a, b = (values[places(start[here], length[here])] for length, start, values in sides)
                 to_a, to_b = cuts(np.cumsum(of.a_size[a]).tolist(), np.cumsum(of.b_size[b]).tolist())
-                line = _written(list(map(of.a_text.__getitem__, names_a)), list(map(of.b_text.__getitem__, names_b)), to_a, to_b)
-                links = _linked(a, b, np.array(to_a), np.array(to_b))
+                line = _written(of.names, a, b, to_a, to_b)
+                links = _linked(a, b, to_a, to_b)
                 figures = [len(a), len(b), len(to_a), int(links[1].sum())]
             found.append(links)
             for c, x in zip(columns, [doc_id, *figures, written(line)], strict=True):
@@ -247,7 +299,7 @@ def _aligned(a_path: str, b_path: str, written: Callable[[str], str]):
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                held.add((doc_id, text.encode()), of.chunks(text) if text else ())
+                held.add((doc_id,), of.chunks(text) if text else ())
                 if held.full:
                     yield rows(held, number)
                     held, number = Pack(), number + 1
