@@ -8,7 +8,7 @@ XXH64) of each frame, the number of frames, flags and magic number. A reader tak
 from the file's end, decompresses the frames of the documents it wants and checks their sums.
 
 Documents are dealt to files by ranges of doc_id and written in ascending order, null ids first;
-rows of one id follow by a hash of their texts. A null text is an empty one: the end id alone.
+rows of one id follow by a hash of their ids. A null text is an empty one: the end id alone.
 Repeated rows are written each. Other columns are not looked at. A file is written under a name
 of its own and then renamed, so a repeated task leaves one whole file.
 """
@@ -22,6 +22,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -33,6 +34,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linepulse.llm.chunked import encoded
+from linepulse.llm.packs import slices
 from linepulse.scratch import fresh_path
 
 END_ID = 0
@@ -46,6 +49,8 @@ _CACHED = 250_000
 _TEXTS = 128
 #: A blank before white space, where a text may not be taken apart.
 _UNSURE = re.compile(r" (?:\s|\Z)|\x00")
+#: A blank before something else, where it may.
+_CUT = re.compile(r"(?= [^\s])")
 #: Letters that every version of Unicode calls so, and pieces of those, digits and ASCII signs.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _PLAIN = re.compile(rf"[\t\n\r\x20-\x7e{_LETTERS}]*")
@@ -101,19 +106,9 @@ def _load(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
     width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
     kind = np.dtype(f"<u{width}")
     setup = json.loads(tokenizer.to_str())
-    before = setup["pre_tokenizer"] or {}
-    apart = (
-        before.get("type") == "ByteLevel"
-        and before.get("use_regex")
-        and not before.get("add_prefix_space")
-        and setup["normalizer"] is None
-        and not setup.get("truncation")
-        and not setup.get("padding")
-        and setup["model"].get("type") == "BPE"
-        and not setup["model"].get("dropout")
-    )
+    apart = splits_at_blanks(setup)
     special = [t["content"] for t in setup["added_tokens"]]
-    known, words = _Known(), _Known()
+    known, single = _Known(), _Known()
     model = tokenizer.model
 
     def whole(texts: list[str]) -> list[bytes]:
@@ -129,8 +124,8 @@ def _load(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
     def new_pieces(pieces: list[str]) -> list[bytes]:
         """Plain pieces go to the model word by word, others through the whole tokenizer."""
         split = [_SPLIT.findall(p) if _PLAIN.fullmatch(p) else None for p in pieces]
-        words.learn(set(chain.from_iterable(filter(None, split))), lambda xs: [word(x) for x in xs])
-        ids = words.new
+        single.learn(set(chain.from_iterable(filter(None, split))), lambda xs: [word(x) for x in xs])
+        ids = single.new
         rest = iter(whole([p for p, xs in zip(pieces, split, strict=True) if xs is None]))
         return [next(rest) if xs is None else b"".join([ids[x] for x in xs]) for xs in split]
 
@@ -272,35 +267,104 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
+class Words:
+    """A tokenizer, and the chunks of a text that it encodes alike wherever they stand.
+
+    A byte-level tokenizer that splits by its usual pattern never joins a blank that something else than
+    white space follows with what stands before it. Texts with special tokens, and all texts of other
+    tokenizers, are one chunk.
+    """
+
+    def __init__(self, path: str) -> None:
+        # Spark runs a worker for each core; threads of their own would only contend.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.of = Tokenizer.from_file(path)
+        setup = json.loads(self.of.to_str())
+        self.apart = splits_at_blanks(setup)
+        self.special = [t["content"] for t in setup["added_tokens"]]
+
+    def chunks(self, text: str) -> Iterator[list[str]]:
+        if not text:
+            return
+        if not self.apart or any(s in text for s in self.special):
+            yield [text]
+            return
+        for part in slices(text, _CUT):
+            yield [c for c in _CUT.split(part) if c] if _UNSURE.search(part) else part.replace(" ", "\0 ").lstrip("\0").split("\0")
+
+    def segment(self, chunks: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.of.encode_batch_fast(chunks, add_special_tokens=False)]
+
+
+def splits_at_blanks(setup: dict) -> bool:
+    """Whether a tokenizer's file has the usual byte-level split, and nothing that changes with what is around a word."""
+    before = setup["pre_tokenizer"] or {}
+    return bool(
+        before.get("type") == "ByteLevel"
+        and before.get("use_regex")
+        and not before.get("add_prefix_space")
+        and setup["normalizer"] is None
+        and not setup.get("truncation")
+        and not setup.get("padding")
+        and setup["model"].get("type") == "BPE"
+        and not setup["model"].get("dropout")
+    )
+
+
+_WORDS: dict[str, Words] = {}
+
+
+def words(path: str) -> Words:
+    """A worker keeps its tokenizers from task to task."""
+    if path not in _WORDS:
+        _WORDS[path] = Words(path)
+    return _WORDS[path]
+
+
+def _as_bytes(width: int, end_id: int, doc_ids: pa.Array, ends: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
+    """The ids of each row and the end id as bytes."""
+    with_end = np.insert(ids, ends[1:], end_id).astype(f"<u{width}")
+    offsets = (ends + np.arange(len(ends))) * width
+    return [doc_ids, pa.Array.from_buffers(pa.binary(), len(doc_ids), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(with_end)])]
+
+
+_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+
+
+def id_bytes(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+    """``(doc_id, ids)``: the ids of every text and the end id, each of ``encoder(tokenizer)[1]`` bytes."""
+    finish = partial(_as_bytes, encoder(tokenizer)[1], end_id)
+    return encoded(docs, partial(words, tokenizer), finish, _IDS, "doc_id long, ids binary")
+
+
 def write(docs: DataFrame, tokenizer: str, folder: str, files: int | None = None, end_id: int = END_ID) -> DataFrame:
     """Write ``docs(doc_id, text)`` to ``folder``; the manifest, one row per file.
 
-    The folder is one that all executors share. ``files`` defaults to the shuffle partitions.
+    The folder is one that all executors share. ``files`` defaults to the shuffle partitions. What is dealt
+    to files are ids, two bytes each if the vocabulary allows, not texts.
     """
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-    dealt = rows.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+    rows = id_bytes(docs, tokenizer, end_id).withColumn("tie", F.xxhash64("ids"))
+    dealt = rows.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids")
     # The number of the range goes along: a task knows only its own rows.
-    dealt = dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    dealt = dealt.select(F.spark_partition_id().alias("part"), "doc_id", "ids")
     width = encoder(tokenizer)[1]
-    end = np.array([end_id], dtype=f"<u{width}").tobytes()
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _place(folder)
-        encode, _ = encoder(tokenizer)
         writer = out = None
         name = temporary = ""
         for batch in batches:
-            parts, doc_ids, texts = (c.to_pylist() for c in batch.columns)
-            for part, doc_id, x in zip(parts, doc_ids, encode(texts), strict=True):
+            for part, doc_id, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     number, name = part, f"part-{part:06d}.zst"
                     temporary = f"{root}/.{name}-{uuid.uuid4().hex}"
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(temporary, compression=None)
                     writer = Writer(out, width)
-                writer.add(doc_id, x + end)
+                writer.add(doc_id, ids)
         if writer is not None:
             writer.close()
             out.close()

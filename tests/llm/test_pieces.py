@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import frame  # noqa: F401
 
-from linepulse.llm import packs, pieces
+from linepulse.llm import chunked, packs, pieces
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -79,13 +79,10 @@ def test_each_distinct_word_is_segmented_once():
             seen.extend(chunks)
             return super().segment(chunks)
 
-    pieces._MODELS["counting"] = Counting()
-    try:
-        words = ["the", "a", "blue", "the"]
-        rows = [{"bucket": b, "pack": str(n), "kind": 0, **_dictionary(words[n:])} for b in (0, 1) for n in (0, 1, 2)]
-        list(pieces._segmented("counting")(iter([pieces.pa.RecordBatch.from_pylist(rows, schema=pieces._SCHEMA)])))
-    finally:
-        del pieces._MODELS["counting"]
+    words = ["the", "a", "blue", "the"]
+    rows = [{"bucket": b, "pack": str(n), "kind": 0, **_dictionary(words[n:])} for b in (0, 1) for n in (0, 1, 2)]
+    batch = chunked.pa.RecordBatch.from_pylist(rows, schema=chunked._SCHEMA)
+    list(chunked._segmented(Counting)(iter([batch])))
     assert sorted(seen) == sorted(["the", "a", "blue"] * 2)
 
 
@@ -96,7 +93,7 @@ def _dictionary(words):
     return {
         "codes": packs.shrunk(np.ones(len(words), np.int32)),
         "lengths": packs.shrunk(np.array([len(w) for w in words], np.int32)),
-        "body": pieces.zstandard.compress("".join(words).encode()),
+        "body": chunked.zstandard.compress("".join(words).encode()),
     }
 
 
@@ -106,4 +103,4 @@ def test_a_pack_that_is_not_whole_is_noticed():
     row = {"pack": "p", "codes": packs.shrunk(np.array([0, 1, 2], np.int32)), "lengths": packs.shrunk(np.array([3], np.int32)), "body": packs.shrunk(np.array([7, 1], np.int64))}
     one = (np.array([0]), np.array([1], np.int32), np.array([5], np.int32))
     with pytest.raises(RuntimeError, match="not whole"):
-        list(pieces._assembled(MODEL).__closure__[0].cell_contents(row, [one]))
+        list(chunked._assembled(None, None).__closure__[0].cell_contents(row, [one]))
