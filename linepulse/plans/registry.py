@@ -772,9 +772,28 @@ def drift_metrics(spark, sf_dir):
 
 @query
 def profile_sketches(spark, sf_dir):
-    """Every column of the journeys, per week from the sketches of its days; estimates within a stated error."""
-    daily = sketches.profile_sketches(all_journeys(spark, sf_dir), "_updated_at", CUSTOMER_JOURNEYS.column_names)
-    return sketches.sketch_metrics(sketches.merge_windows(daily, "7 days"))
+    """Every column of the journeys, per week from the sketches of its days, held against exact counts.
+
+    Estimates themselves are no part of the result: a distinct count has to be within four standard
+    errors of the exact one, and quantiles have to lie in order between the extremes.
+    """
+    rows = all_journeys(spark, sf_dir)
+    names = CUSTOMER_JOURNEYS.column_names
+    daily = sketches.profile_sketches(rows, "_updated_at", names)
+    found = sketches.sketch_metrics(sketches.merge_windows(daily, "7 days"))
+    exact = observe.profile_metrics(rows, "_updated_at", names, "7 days").select(
+        "window_start", "column_name", F.col("distinct_values").alias("exact")
+    )
+    apart = F.abs(F.col("distinct_values") - F.col("exact"))
+    low, *quantiles, high = [F.col("min_value").try_cast("double"), *map(F.col, sketches.QUANTILES), F.col("max_value").try_cast("double")]
+    in_order = F.lit(True)
+    for a, b in zip([low, *quantiles], [*quantiles, high], strict=True):
+        in_order = in_order & (a <= b)
+    return found.join(exact, ["window_start", "column_name"]).select(
+        "window_start", "column_name", "rows", "nulls", "min_value", "max_value", "mean_value",
+        (apart <= 4 * 1.04 / 2 ** (sketches.LG / 2) * F.col("exact")).alias("distinct_within_error"),
+        F.when(F.col("p50").isNull(), F.lit(True)).otherwise(in_order).alias("quantiles_in_order"),
+    )
 
 
 @query
