@@ -13,15 +13,19 @@ that. So the smallest passage found is one of 48 characters (8 or 9 words) from
 word of the item, or of 55 from any place, with a tenth of a window's characters in edits.
 Shorter passages are not found, unless they are a whole item.
 
+A text is looked at in slices of bounded length, and pairs of its places with those of the items are made
+a bounded number at a time; nothing is given up in repetitive texts.
+
 Letters are compared in lower case and any white space as a blank, one character for one, so the
 places found are places in the text. Null texts have no regions; an item that is null or has
-fewer than q characters has no q-gram and takes no part. Repeated items and rows are found each.
+fewer than ``LEAST_CHARS`` characters takes no part; ``left_out`` tells which. Repeated items and rows are found each.
 Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,13 +41,21 @@ WINDOW = 96
 PASSAGE = 48
 #: Characters of a word after which a window starts inside it.
 STEP = 8
+#: Shorter items take no part: such a phrase stands in texts that know nothing of the benchmark.
+LEAST_CHARS = 20
 #: Edits allowed, as a share of a window's characters.
 EDITS = 0.1
 #: Most characters of the items that are indexed at a time; more items make more blocks.
 BLOCK_CHARS = 750_000
-_SPACE = re.compile(r"\s")
+#: White space other than the blank itself.
+_SPACE = re.compile(r"[^\S ]")
+#: Characters of a text that are looked at together, and pairs of places that are made together.
+SLICE, _PAIRS = 1 << 12, 1 << 21
 _BITS = 22
 _FAR = 1 << 30
+#: Characters of short texts that are looked at together, and what stands between them.
+_GROUP = 1 << 15
+_NO_LETTER = 0x110000
 SCHEMA = "doc_id long, item_id long, start int, end int, distance int"
 
 
@@ -119,7 +131,7 @@ def build(
     ids, codes, wholes, number = [], [], [], []
     for item_id, text in items:
         whole = _codes(plain(text))
-        if len(whole) < q:
+        if len(whole) < max(q, LEAST_CHARS):
             continue
         before = len(codes)
         last = max(0, len(whole) - window)
@@ -165,10 +177,38 @@ def _places(codes: list[np.ndarray], q: int) -> tuple[np.ndarray, np.ndarray, np
     return known, np.append(first, len(every)), text, offset
 
 
-def _flat(first: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All places of the q-grams ``k``, and how many each has."""
-    n = first[k + 1] - first[k]
-    return np.repeat(first[k] - np.append(0, n.cumsum()[:-1]), n) + np.arange(n.sum()), n
+def _ranges(first: np.ndarray, of: np.ndarray, count: int, k: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of owners (items, windows) whose places make at most ``_PAIRS`` pairs with the q-grams ``k``.
+
+    A single owner with more is a range of its own.
+    """
+    if (first[k + 1] - first[k]).sum() <= _PAIRS:
+        yield 0, count
+        return
+    each, times = np.unique(k, return_counts=True)
+    n = first[each + 1] - first[each]
+    place = np.repeat(first[each] - np.append(0, n.cumsum()[:-1]), n) + np.arange(n.sum())
+    total = np.cumsum(np.bincount(of[place], weights=np.repeat(times, n), minlength=count))
+    low = 0
+    while low < count:
+        before = total[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(total, before + _PAIRS, side="right")))
+        yield low, high
+        low = high
+
+
+def _flat(
+    first: np.ndarray, of: np.ndarray, k: np.ndarray, low: int, high: int, count: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the q-grams ``k`` in owners from ``low`` to ``high``, and how many each has."""
+    begin, end = first[k], first[k + 1]
+    if low or high < count:
+        # Places of a q-gram are sorted by owner.
+        each, back = np.unique(k, return_inverse=True)
+        cuts = np.array([first[g] + np.searchsorted(of[first[g] : first[g + 1]], (low, high)) for g in each.tolist()])
+        begin, end = cuts[back, 0], cuts[back, 1]
+    n = end - begin
+    return np.repeat(begin - np.append(0, n.cumsum()[:-1]), n) + np.arange(n.sum()), n
 
 
 def _sifted(sieve: Sieve, at: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -177,23 +217,34 @@ def _sifted(sieve: Sieve, at: np.ndarray, k: np.ndarray) -> np.ndarray:
     Bands of the item's widest budget, and in one of them as many q-grams as the easiest window
     needs, no further apart than the longest window reaches: every match has that.
     """
-    passed = np.zeros(len(sieve.step), dtype=bool)
-    place, n = _flat(sieve.first, k)
-    item, offset = sieve.item[place], sieve.offset[place]
-    band = (np.repeat(at, n) - offset + _FAR) // sieve.step[item]
-    key = np.concatenate([(item << 32) + band, (item << 32) + band - 1])
-    offset = np.tile(offset, 2)
-    _, back, shared = np.unique(key, return_inverse=True, return_counts=True)
-    enough = shared[back] >= sieve.need[key >> 32]
-    key, offset = key[enough], offset[enough]
-    order = np.lexsort((offset, key))
-    key, offset = key[order], offset[order]
-    item = key >> 32
-    last = np.arange(len(key)) + sieve.need[item] - 1
-    inside = last < len(key)
-    item, last = item[inside], last[inside]
-    close = (key[last] == key[inside]) & (offset[last] - offset[inside] <= sieve.reach[item])
-    passed[item[close]] = True
+    count = len(sieve.step)
+    passed = np.zeros(count, dtype=bool)
+    for low, high in _ranges(sieve.first, sieve.item, count, k):
+        place, n = _flat(sieve.first, sieve.item, k, low, high, count)
+        item = sieve.item[place]
+        # Most items have too few places in the whole text.
+        many = (np.bincount(item, minlength=count) >= sieve.need)[item]
+        if not many.any():
+            continue
+        item, offset = item[many], sieve.offset[place[many]]
+        band = (np.repeat(at, n)[many] - offset + _FAR) // sieve.step[item]
+        key = (item << 32) + band
+        # Few items have enough places in any two neighbouring bands; the others go before the sort by offset.
+        bands, back, shared = np.unique(key, return_inverse=True, return_counts=True)
+        near = np.where(np.diff(bands, append=-9) == 1, np.append(shared[1:], 0), 0)
+        before = np.where(np.diff(bands, prepend=-9) == 1, np.append(0, shared[:-1]), 0)
+        enough = np.maximum(shared + near, shared + before) >= sieve.need[bands >> 32]
+        able = enough[back]
+        key, offset = key[able], offset[able]
+        key, offset = np.concatenate([key, key - 1]), np.concatenate([offset, offset])
+        order = np.lexsort((offset, key))
+        key, offset = key[order], offset[order]
+        item = key >> 32
+        last = np.arange(len(key)) + sieve.need[item] - 1
+        inside = last < len(key)
+        item, last = item[inside], last[inside]
+        close = (key[last] == key[inside]) & (offset[last] - offset[inside] <= sieve.reach[item])
+        passed[item[close]] = True
     return passed
 
 
@@ -210,22 +261,57 @@ def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     passed = _sifted(index.sieve, at, k)
     if not passed.any():
         return none
-    place, n = _flat(index.first, k)
-    w, diagonal = index.window[place], np.repeat(at, n) - index.offset[place] + _FAR
-    able = passed[index.number[w]]
-    w, diagonal = w[able], diagonal[able]
-    # A step of k + 1 and bands of two steps: any k + 1 neighbouring diagonals are in one band.
-    step = index.budget[w] + 1
-    band = diagonal // step
-    key = np.concatenate([(w << 32) + band, (w << 32) + band - 1])
-    # A place in the window counts once for each place in the text, so a repeated q-gram counts as the lemma needs.
-    key, shared = np.unique(key, return_counts=True)
+    found = []
+    count = len(index.codes)
+    for low, high in _ranges(index.first, index.window, count, k):
+        if not passed[index.number[low:high]].any():
+            continue
+        place, n = _flat(index.first, index.window, k, low, high, count)
+        w, diagonal = index.window[place], np.repeat(at, n) - index.offset[place] + _FAR
+        able = passed[index.number[w]]
+        w, diagonal = w[able], diagonal[able]
+        # A step of k + 1 and bands of two steps: any k + 1 neighbouring diagonals are in one band.
+        band = diagonal // (index.budget[w] + 1)
+        key = np.concatenate([(w << 32) + band, (w << 32) + band - 1])
+        # A place in the window counts once for each place in the text, so a repeated q-gram counts as the lemma needs.
+        key, shared = np.unique(key, return_counts=True)
+        found.append(key[shared >= index.least[key >> 32]])
+    key = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
     w, band = key >> 32, key & 0xFFFFFFFF
-    enough = shared >= index.least[w]
-    w, band = w[enough], band[enough]
     return w, band * (index.budget[w] + 1) - _FAR
 
 
+def verify(
+    index: Index, texts: list[np.ndarray], w: np.ndarray, diagonal: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``align``; windows that stand in their text letter by letter are found without it.
+
+    All windows of a call have one budget.
+    """
+    n, width = len(w), 2 * (int(index.budget[w[0]]) + 1)
+    cost, start, end = np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    length = np.array([len(index.codes[i]) for i in w])
+    for size in np.unique(length).tolist():
+        rows = np.flatnonzero(length == size)
+        pattern = np.stack([index.codes[i] for i in w[rows].tolist()])
+        there = np.full((len(rows), size + width), -1, np.int64)
+        for i, row in enumerate(rows.tolist()):
+            left = int(diagonal[row])
+            a, b = max(0, left), min(len(texts[row]), left + size + width)
+            if a < b:
+                there[i, a - left : b - left] = texts[row][a:b]
+        same = np.ones((len(rows), width), dtype=bool)
+        for j in range(size):
+            same &= there[:, j : j + width] == pattern[:, j : j + 1]
+        which = np.flatnonzero(same.any(axis=1))
+        at = diagonal[rows[which]] + same[which].argmax(axis=1)
+        cost[rows[which]], start[rows[which]], end[rows[which]] = 0, at, at + size
+    left = np.flatnonzero(cost < 0)
+    if len(left):
+        cost[left], start[left], end[left] = align(index, [texts[i] for i in left.tolist()], w[left], diagonal[left])
+    return cost, start, end
+
+
 def align(index: Index, texts: list[np.ndarray], w: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Least edit distance of each window to a piece of its text in its band, and the piece's ends.
 
@@ -248,12 +334,14 @@ def align(index: Index, texts: list[np.ndarray], w: np.ndarray, diagonal: np.nda
         if a < b:
             pad[i, a - left[i] : b - left[i]] = texts[i][a:b]
             inside[i, a - left[i] : b - left[i]] = True
-    big = np.int32(1 << 20)
-    cells = np.arange(width, dtype=np.int32)
+    big = np.int16(1 << 14)
+    cells = np.arange(width, dtype=np.int16)
     # Cell j of row r stands for r characters of the window and the text up to left + r + j.
-    cost = np.zeros((n, width), dtype=np.int32)
+    cost = np.zeros((n, width), dtype=np.int16)
     start = np.broadcast_to(cells, (n, width)).copy()
-    done_cost, done_end, done_start = (np.full(n, big, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int64))
+    done_cost, done_end, done_start = (np.full(n, big, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64))
+    # Windows that no path can end within their budget are left behind as soon as half of them are such.
+    rest = np.arange(n)
     for r in range(rows):
         text_at = pad[:, r : r + width]
         swap = cost + ((text_at != pattern[:, r : r + 1]) | ~inside[:, r : r + width])
@@ -272,51 +360,109 @@ def align(index: Index, texts: list[np.ndarray], w: np.ndarray, diagonal: np.nda
         ends = np.flatnonzero(length == r + 1)
         if len(ends):
             j = cost[ends].argmin(axis=1)
-            done_cost[ends] = cost[ends, j]
-            done_end[ends] = left[ends] + r + 1 + j
-            done_start[ends] = left[ends] + start[ends, j]
+            to = rest[ends]
+            done_cost[to] = cost[ends, j]
+            done_end[to] = left[ends] + r + 1 + j
+            done_start[to] = left[ends] + start[ends, j]
+        if r % 4 == 3:
+            alive = np.flatnonzero((cost.min(axis=1) <= k) & (length > r + 1))
+            if not len(alive):
+                break
+            if len(alive) < len(rest) // 2:
+                rest, k, left, length, pattern, pad, inside, cost, start = (
+                    x[alive] for x in (rest, k, left, length, pattern, pad, inside, cost, start)
+                )
     return done_cost, done_start, done_end
 
 
+def _joined(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """``(item, start, end, edits)`` with those of one item that touch made one."""
+    out: list[tuple[int, int, int, int]] = []
+    for x in sorted(found):
+        if out and out[-1][0] == x[0] and x[1] <= out[-1][2]:
+            last = out[-1]
+            out[-1] = (*last[:2], max(last[2], x[2]), max(last[3], x[3]))
+        else:
+            out.append(x)
+    return out
+
+
 def regions(index: Index, texts: list[str | None], batch: int = 4096) -> Iterator[tuple[int, int, int, int, int]]:
-    """``(text number, item id, start, end, edits)``: verified windows, those that touch made one."""
-    found: list[tuple[int, int, int, int, int]] = []
-    waiting: list[tuple[int, np.ndarray, int, int]] = []
+    """``(text number, item id, start, end, edits)``: verified windows, those that touch made one.
+
+    A text is looked at in slices that overlap by more than a window and its budget, so each match lies
+    whole in one. Slices of a text that are alike, as in rules and tables, are looked at once.
+    """
+    waiting: dict[int, list[tuple[list, np.ndarray, int, int]]] = {}
+    held = 0
+    most = int(index.budget.max(initial=0))
+    overlap = 2 * (int(max((len(c) for c in index.codes), default=0)) + most)
+    # Between texts that are looked at together: longer than any match can reach over from both sides.
+    gap = np.full(2 * most + 2, _NO_LETTER, dtype=np.uint32)
+    pieces: list[tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int]]]] = []
 
-    def verify() -> None:
+    def flush() -> None:
         # Rows and bands are as large as the largest of a batch needs, so windows of one budget go together.
-        by_budget: dict[int, list[tuple[int, np.ndarray, int, int]]] = {}
-        for x in waiting:
-            by_budget.setdefault(int(index.budget[x[2]]), []).append(x)
-        for some in by_budget.values():
+        for some in waiting.values():
             w, d = (np.array([x[i] for x in some], dtype=np.int64) for i in (2, 3))
-            cost, start, end = align(index, [x[1] for x in some], w, d)
-            for (row, codes, win, _), c, a, b in zip(some, cost.tolist(), start.tolist(), end.tolist(), strict=True):
-                if c <= index.budget[win]:
-                    found.append((row, int(index.items[win]), max(0, a), min(b, len(codes)), c))
+            cost, start, end = verify(index, [x[1] for x in some], w, d)
+            for i in np.flatnonzero(cost <= index.budget[w]).tolist():
+                found, _, win, _ = some[i]
+                found.append((int(index.items[win]), int(start[i]), int(end[i]), int(cost[i])))
+                if len(found) > batch:
+                    found[:] = _joined(found)
         waiting.clear()
 
+    def look(piece: np.ndarray) -> list[tuple[int, int, int, int]]:
+        nonlocal held
+        found: list[tuple[int, int, int, int]] = []
+        for win, diagonal in zip(*(x.tolist() for x in candidates(index, piece)), strict=True):
+            waiting.setdefault(int(index.budget[win]), []).append((found, piece, win, diagonal))
+            held += 1
+            if held >= batch:
+                flush()
+                held = 0
+        return found
+
+    def together(some: list[tuple[int, np.ndarray]]) -> None:
+        spans, at = [], 0
+        for row, codes in some:
+            spans.append((at, row, len(codes), 0))
+            at += len(codes) + len(gap)
+        if some:
+            pieces.append((spans, look(np.concatenate([x for _, codes in some for x in (codes, gap)]))))
+
+    short: list[tuple[int, np.ndarray]] = []
+    size = 0
     for row, text in enumerate(texts):
         if not text:
             continue
         codes = _codes(plain(text))
-        for win, diagonal in zip(*(x.tolist() for x in candidates(index, codes)), strict=True):
-            waiting.append((row, codes, win, diagonal))
-            if len(waiting) >= batch:
-                verify()
-    if waiting:
-        verify()
-    found.sort()
-    held: tuple[int, int, int, int, int] | None = None
-    for x in found:
-        if held and held[:2] == x[:2] and x[2] <= held[3]:
-            held = (*held[:3], max(held[3], x[3]), max(held[4], x[4]))
-        else:
-            if held:
-                yield held
-            held = x
-    if held:
-        yield held
+        if len(codes) <= SLICE + overlap:
+            short.append((row, codes))
+            size += len(codes)
+            if size >= _GROUP:
+                together(short)
+                short, size = [], 0
+            continue
+        alike: dict[bytes, list] = {}
+        for base in range(0, len(codes) - overlap, SLICE):
+            piece = codes[base : base + SLICE + overlap]
+            key = piece.tobytes()
+            if key not in alike:
+                alike[key] = look(piece)
+            pieces.append(([(0, row, len(piece), base)], alike[key]))
+    together(short)
+    flush()
+    whole: dict[int, list[tuple[int, int, int, int]]] = {}
+    for spans, found in pieces:
+        begins = [x[0] for x in spans]
+        for item, a, b, c in _joined(found):
+            begin, row, length, base = spans[bisect_right(begins, (a + b) // 2) - 1]
+            whole.setdefault(row, []).append((item, max(0, a - begin) + base, min(b - begin, length) + base, c))
+    for row in sorted(whole):
+        for x in _joined(whole[row]):
+            yield row, *x
 
 
 def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -333,6 +479,12 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]
         yield block
 
 
+def left_out(benchmark: DataFrame) -> DataFrame:
+    """The items that take no part, being null or short."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return benchmark.where(F.col("item_id").isNull() | (F.length(text) < LEAST_CHARS))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,

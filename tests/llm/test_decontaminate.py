@@ -1,6 +1,7 @@
 """Regions against plain edit distance."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -122,3 +123,59 @@ def test_parts_of_long_items_are_found_off_the_grid(frame):
 def test_windows_start_inside_text_without_blanks():
     codes = np.array([ord(c) for c in "ab abcdefghijklmnopqrs  c"], dtype=np.uint32)
     assert d.word_starts(codes).tolist() == [0, 3, 11, 19, 24]
+
+
+def all_places(item, text, budget):
+    """Ends of all pieces of ``text`` within ``budget`` edits of ``item``."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(item, 1):
+        last, row[0] = row[0], i
+        for j, t in enumerate(text, 1):
+            last, row[j] = row[j], min(last + (p != t), row[j] + 1, row[j - 1] + 1)
+    return [j for j, c in enumerate(row) if c <= budget]
+
+
+@pytest.mark.parametrize("text", ["-" * 700, "=-" * 300, "| a | " * 90, "ab " * 60 + "-" * 200 + " cd" * 70, " " * 500])
+def test_repetitive_texts_against_edit_distance(monkeypatch, text):
+    monkeypatch.setattr(d, "SLICE", 128)
+    monkeypatch.setattr(d, "_PAIRS", 500)
+    items = [(1, "-" * 60), (2, "=-" * 25), (3, "| a | " * 9 + "|"), (4, "x" * 40), (5, "cd cd cd " + "e" * 30)]
+    index = d.build(items)
+    got = {item: (a, b) for _, item, a, b, _ in d.regions(index, [text])}
+    for n, (item, pattern) in enumerate(items):
+        ends = all_places(pattern, text, int(index.budget[n]))
+        assert (item in got) == bool(ends)
+        if ends:
+            assert got[item][1] == max(ends) or abs(got[item][1] - max(ends)) <= index.budget[n]
+
+
+def test_a_long_rule_takes_bounded_memory():
+    items = [(i, "-" * 60) for i in range(40)]
+    tracemalloc.start()
+    try:
+        got = list(d.regions(d.build(items, passage=d.PASSAGE), ["-" * 100_000]))
+        assert tracemalloc.get_traced_memory()[1] < 600e6
+    finally:
+        tracemalloc.stop()
+    assert [x[:4] for x in got] == [(0, i, 0, 100_000) for i in range(40)]
+
+
+def test_texts_together_are_like_each_alone():
+    rng = random.Random(12)
+    items = [(i, prose(rng, 40)) for i in range(8)]
+    index = d.build(items, passage=d.PASSAGE)
+    texts = []
+    for i in range(80):
+        words = items[i % 8][1].split()
+        part = " ".join(words[: rng.randrange(3, 40)]) if i % 3 else prose(rng, 9)
+        texts.append(damaged(rng, part, i % 4) if i % 2 else prose(rng, i) + part)
+    alone = [(i, *x[1:]) for i, t in enumerate(texts) for x in d.regions(index, [t])]
+    assert list(d.regions(index, texts)) == alone
+    assert len(alone) > 30
+
+
+def test_short_items_take_no_part(frame):
+    bench = frame([(1, "in general"), (2, None), (None, "an item that has no id"), (3, "an item that is long enough")], "item_id long, text string")
+    docs = frame([(1, "words in general and more of them")], "doc_id long, text string")
+    assert d.contaminated(docs, bench).count() == 0
+    assert sorted(r.text or "" for r in d.left_out(bench).collect()) == ["", "an item that has no id", "in general"]
