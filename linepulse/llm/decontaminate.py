@@ -396,7 +396,8 @@ def regions(index: Index, texts: list[str | None], batch: int = 4096) -> Iterato
     waiting: dict[int, list[tuple[list, np.ndarray, int, int]]] = {}
     held = 0
     most = int(index.budget.max(initial=0))
-    overlap = 2 * (int(max((len(c) for c in index.codes), default=0)) + most)
+    sizes = np.array([len(c) for c in index.codes], dtype=np.int64)
+    overlap = 2 * int(sizes.max(initial=0)) + 8 * most + 8
     # Between texts that are looked at together: longer than any match can reach over from both sides.
     gap = np.full(2 * most + 2, _NO_LETTER, dtype=np.uint32)
     pieces: list[tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int]]]] = []
@@ -413,10 +414,15 @@ def regions(index: Index, texts: list[str | None], batch: int = 4096) -> Iterato
                     found[:] = _joined(found)
         waiting.clear()
 
-    def look(piece: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def look(piece: np.ndarray, first: bool = True, last: bool = True) -> list[tuple[int, int, int, int]]:
         nonlocal held
         found: list[tuple[int, int, int, int]] = []
-        for win, diagonal in zip(*(x.tolist() for x in candidates(index, piece)), strict=True):
+        w, diagonals = candidates(index, piece)
+        # What a slice's end may cut off is whole in the slice before or after it.
+        whole = np.full(len(w), True) if first else diagonals >= most
+        if not last:
+            whole &= diagonals + 3 * index.budget[w] + 2 + sizes[w] <= len(piece)
+        for win, diagonal in zip(w[whole].tolist(), diagonals[whole].tolist(), strict=True):
             waiting.setdefault(int(index.budget[win]), []).append((found, piece, win, diagonal))
             held += 1
             if held >= batch:
@@ -445,12 +451,12 @@ def regions(index: Index, texts: list[str | None], batch: int = 4096) -> Iterato
                 together(short)
                 short, size = [], 0
             continue
-        alike: dict[bytes, list] = {}
+        alike: dict[tuple[bytes, bool, bool], list] = {}
         for base in range(0, len(codes) - overlap, SLICE):
             piece = codes[base : base + SLICE + overlap]
-            key = piece.tobytes()
+            key = piece.tobytes(), base == 0, base + SLICE >= len(codes) - overlap
             if key not in alike:
-                alike[key] = look(piece)
+                alike[key] = look(piece, *key[1:])
             pieces.append(([(0, row, len(piece), base)], alike[key]))
     together(short)
     flush()

@@ -179,3 +179,14 @@ def test_short_items_take_no_part(frame):
     docs = frame([(1, "words in general and more of them")], "doc_id long, text string")
     assert d.contaminated(docs, bench).count() == 0
     assert sorted(r.text or "" for r in d.left_out(bench).collect()) == ["", "an item that has no id", "in general"]
+
+
+def test_slices_change_nothing(monkeypatch):
+    rng = random.Random(21)
+    items = [(i, prose(rng, 60)) for i in range(6)]
+    index = d.build(items, passage=d.PASSAGE)
+    texts = [" ".join(x for i in range(12) for x in (prose(rng, rng.randint(5, 60)), damaged(rng, items[i % 6][1], i % 5))) for _ in range(4)]
+    whole = list(d.regions(index, texts))
+    monkeypatch.setattr(d, "SLICE", 512)
+    assert list(d.regions(index, texts)) == whole
+    assert len(whole) >= 48
