@@ -253,6 +253,8 @@ def test_refresh_follows_only_changes(spark, schema, monkeypatch):
 
     ids = [str(i) for i in range(30)]
     status = feed("2024-05-01", 3)
+    for spec in (CUSTOMER_JOURNEYS, DISRUPTION_COUNTS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS):
+        catalog.ensure_table(spark, spec, *schema, buckets=4)
     tables = {s.name: f"{schema[0]}.{s.name}" for s in (CUSTOMER_JOURNEYS, DISRUPTION_COUNTS, DISRUPTION_SUMMARY, NOTIFICATION_TARGETS)}
 
     def all_files():
