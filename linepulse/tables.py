@@ -19,7 +19,8 @@ class TableSpec:
     keys: tuple[str, ...] = ()
     #: Hash buckets of the keys that a new table is laid out in; choose so that one bucket suits one task.
     buckets: int = 0
-    tags: Mapping[str, str] = field(default_factory=dict)
+    #: Compared, but left out of the hash: specs are keys of dictionaries, and a dictionary has none.
+    tags: Mapping[str, str] = field(default_factory=dict, hash=False)
 
     @property
     def column_names(self) -> list[str]:

@@ -1,5 +1,6 @@
 """Tables in the catalog, snapshots, retention, freshness."""
 
+import dataclasses
 import datetime as dt
 import json
 import uuid
@@ -16,7 +17,7 @@ from linepulse.plans import medallion
 from linepulse.plans.registry import bronze_status
 from linepulse.sources import adapter, catalog, feed, snapshots
 from linepulse.streaming import flows
-from linepulse.tables import ALL_TABLES, LINE_STATUS
+from linepulse.tables import ALL_TABLES, CUSTOMER_JOURNEYS, LINE_STATUS
 
 NOW = "2024-06-01 12:00:00"
 
@@ -42,6 +43,13 @@ def test_every_table_can_be_created_twice(spark, schema):
         assert comments["_updated_at"]
 
 
+def test_specs_are_keys_of_dictionaries():
+    named = {spec: spec.name for spec in ALL_TABLES}
+    assert [named[spec] for spec in ALL_TABLES] == [spec.name for spec in ALL_TABLES]
+    other = dataclasses.replace(CUSTOMER_JOURNEYS, tags={})
+    assert other != CUSTOMER_JOURNEYS and other not in named
+
+
 def test_properties_survive_append_and_overwrite(spark, schema):
     table = catalog.ensure_table(spark, LINE_STATUS, *schema)
     status = bronze_status(spark, SF)
