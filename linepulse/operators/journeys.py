@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linepulse.fixed import (
@@ -44,6 +45,8 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 ROW_BYTES = 128
 # Customers of one station that a task of the shuffled join takes.
 CUSTOMERS_A_TASK = 1_000_000
+# About how many bytes of joined rows a task of the broadcast join makes.
+JOINED_BYTES = 64 * 1024 * 1024
 
 
 def disrupted(status: DataFrame) -> DataFrame:
@@ -87,13 +90,35 @@ def latest_status(status: DataFrame) -> DataFrame:
     return scd1(rows, ["station_name", "line_id"], ["_updated_at", "row_id"])
 
 
-def _row_bytes(df: DataFrame) -> int:
-    """About how large the rows of ``df`` are in memory; an exact sum over all of them."""
-    texts = [c for c, kind in df.dtypes if kind == "string"]
+def _size(df: DataFrame) -> Column:
+    """About how large a row of ``df`` is in memory."""
     row = F.lit(ROW_BYTES)
-    for c in texts:
+    for c in (c for c, kind in df.dtypes if kind == "string"):
         row = row + F.coalesce(F.octet_length(c), F.lit(0))
-    return df.agg(F.sum(row)).first()[0] or 0
+    return row
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """About how large the rows of ``df`` are in memory; an exact sum over all of them."""
+    return df.agg(F.sum(_size(df))).first()[0] or 0
+
+
+def _joined_bytes(profiles: DataFrame, status: DataFrame) -> float:
+    """About how large the rows of the join are; both sides are summed per station before they meet."""
+    people = profiles.groupBy("home_station").agg(F.count(F.lit(1)).alias("customers"), F.sum(_size(profiles)).alias("own"))
+    reports = status.groupBy("station_name").agg(F.count(F.lit(1)).alias("reports"), F.sum(_size(status)).alias("bytes"))
+    pairs = people.join(reports, people.home_station == reports.station_name)
+    size = F.col("customers").cast("double") * F.col("bytes") + F.col("own").cast("double") * F.col("reports")
+    return pairs.agg(F.sum(size)).first()[0] or 0.0
+
+
+def dealt(profiles: DataFrame, status: DataFrame) -> DataFrame:
+    """``profiles`` in as many parts as the rows of the broadcast join ask for.
+
+    A file of profiles is small and few tasks read it, but each row becomes one per line of its station.
+    """
+    parts = math.ceil(_joined_bytes(profiles, status) / JOINED_BYTES)
+    return profiles.repartition(parts, *profiles.columns) if parts > 1 else profiles
 
 
 def station_parts(profiles: DataFrame, customers: int) -> DataFrame:
@@ -115,12 +140,12 @@ def join_split(profiles: DataFrame, status: DataFrame, customers: int = CUSTOMER
     # Fewer rows than customers / CUSTOMERS_A_TASK: a thousand for a thousand million.
     few = F.broadcast(parts)
     part = F.pmod(F.xxhash64("customer_id"), F.coalesce("parts", F.lit(1))).cast("int")
-    dealt = profiles.join(few, F.col("home_station") == F.col("station"), "left").withColumn("part", part)
+    split = profiles.join(few, F.col("home_station") == F.col("station"), "left").withColumn("part", part)
     last = F.coalesce(F.col("parts"), F.lit(1)) - 1
     repeated = status.join(few, F.col("station_name") == F.col("station"), "left").withColumn(
         "part", F.explode(F.sequence(F.lit(0), last))
     )
-    return dealt.drop("station", "parts").alias("p").join(
+    return split.drop("station", "parts").alias("p").join(
         repeated.drop("station", "parts").alias("s"),
         (F.col("p.home_station") == F.col("s.station_name")) & (F.col("p.part") == F.col("s.part")),
     )
@@ -131,12 +156,14 @@ def join_profiles_status(profiles: DataFrame, status: DataFrame) -> DataFrame:
 
     Pass status rows reduced by ``latest_status`` and staged: the result is then
     one row per customer and line, and measuring the status side is cheap. That
-    side is broadcast up to ``BROADCAST_BYTES``. Beyond that the join shuffles, see ``join_split``.
+    side is broadcast up to ``BROADCAST_BYTES``, and the profiles are ``dealt``. Beyond that the join
+    shuffles, see ``join_split``.
     """
     status = with_row_id(status)
+    profiles = profiles.select(*PROFILE_COLUMNS, "_inserted_at", "_updated_at")
     if _row_bytes(status) <= BROADCAST_BYTES:
         on_station = F.col("p.home_station") == F.col("s.station_name")
-        joined = profiles.alias("p").join(F.broadcast(status.alias("s")), on_station)
+        joined = dealt(profiles, status).alias("p").join(F.broadcast(status.alias("s")), on_station)
     else:
         joined = join_split(profiles, status)
     return joined.select(

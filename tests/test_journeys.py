@@ -64,6 +64,18 @@ def test_salted_join_equals_broadcast_join(people, status, monkeypatch):
     assert rows(salted) == wanted
 
 
+def test_profiles_of_one_file_are_joined_by_many_tasks(people, status, monkeypatch):
+    one = people.unionByName(people.limit(3)).coalesce(1)
+    latest = J.latest_status(J.disrupted(status))
+    wanted = J.join_profiles_status(one, latest)
+    assert wanted.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(J, "JOINED_BYTES", 10_000)
+    spread = J.join_profiles_status(one, latest)
+    sizes = [n for n in spread.rdd.glom().map(len).collect() if n]
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
+    assert rows(spread) == rows(wanted)
+
+
 def test_repeated_profiles_need_the_upsert_after_the_join(people, status):
     twice = people.unionByName(
         people.withColumn("_updated_at", F.col("_updated_at") - F.expr("interval 1 day"))
