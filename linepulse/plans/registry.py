@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -51,6 +52,8 @@ QUERIES: dict[str, Query] = {}
 MIDDLE = "2024-01-16 00:00:00"
 # A day by which part of the bronze rows has reached its end.
 PURGE_AT = "2026-01-15 00:00:00"
+# Events of a file that the journeys stream reads; a batch of many has several files, which tasks read side by side.
+LANDED_ROWS = 250_000
 
 
 def query(fn: Query) -> Query:
@@ -588,9 +591,10 @@ def scd1_upsert(spark, sf_dir):
 def _run_journeys(spark, sf_dir):
     root = fresh_path(spark, "journeys")
     landed, events = f"{root}/landed", table(spark, sf_dir, "events")
-    # Shuffled files, one per batch: late rows have to lose across batches.
-    events.repartition(3, F.xxhash64("event_id")).write.parquet(landed)
-    events = flows.scan_stream(spark, landed, events.schema, files_per_batch=1)
+    # Shuffled files, three batches of them: late rows have to lose across batches.
+    files = max(1, math.ceil(events.count() / 3 / LANDED_ROWS))
+    events.repartition(3 * files, F.xxhash64("event_id")).write.parquet(landed)
+    events = flows.scan_stream(spark, landed, events.schema, files_per_batch=files)
     flows.stream_journeys(
         adapter.as_status(events), lambda: profiles(spark, sf_dir), root, AS_OF
     ).awaitTermination()

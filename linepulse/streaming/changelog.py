@@ -10,10 +10,11 @@ root, the stream's checkpoint too: batch numbers start anew only together with t
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 from contextlib import AbstractContextManager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -49,9 +50,13 @@ def upsert_stream(
         _note(spark, reads, root, -1)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # The write itself tells how far the batch goes; a batch read once more costs as much again.
+        seen = Observation(f"read-{uuid.uuid4().hex}")
+        if reads:
+            batch = batch.observe(seen, F.max(BATCH).alias("newest"))
         with rows_of(batch) as rows:
             rows.write.mode("overwrite").parquet(f"{log_path(root)}/{BATCH}={batch_id}")
-        if reads and (newest := batch.agg(F.max(BATCH)).first()[0]) is not None:
+        if reads and (newest := seen.get.get("newest")) is not None:
             _note(spark, reads, root, newest)
 
     return (
@@ -115,11 +120,17 @@ def _versions(spark: SparkSession, root: str, schema: StructType, upto: int | No
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
+def _latest(rows: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
+    """The latest row per key of log and state. A batch has each key once, so tasks that read them have
+    nothing to drop before the shuffle, and need not sort."""
+    return scd1(rows.repartition(*keys), keys, sequence_by)
+
+
 def current_rows(
     spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], sequence_by: Sequence[str]
 ) -> DataFrame:
     """The latest row per key: the last fold, and only the log folders after it."""
-    return scd1(_versions(spark, root, schema), keys, sequence_by)
+    return _latest(_versions(spark, root, schema), keys, sequence_by)
 
 
 def fold(
@@ -134,7 +145,7 @@ def fold(
     done = states[-1][0] if states else -1
     if batches and batches[-1] - 1 > done:
         done = batches[-1] - 1
-        rows = scd1(_versions(spark, root, schema, done), keys, sequence_by)
+        rows = _latest(_versions(spark, root, schema, done), keys, sequence_by)
         rows.write.mode("overwrite").parquet(_state_path(root, (done, 0)))
     read = min(positions(spark, root), default=-1)
     _remove(spark, root, [b for b in batches if b <= done and b < read], states[:-1])
@@ -168,6 +179,6 @@ def purge(
         return
     done, revision = states[-1] if states else (-1, 0)
     new = (batches[-1], 0) if batches and batches[-1] > done else (done, revision + 1)
-    rows = kept(scd1(_versions(spark, root, schema), keys, sequence_by))
+    rows = kept(_latest(_versions(spark, root, schema), keys, sequence_by))
     rows.write.mode("overwrite").parquet(_state_path(root, new))
     _remove(spark, root, batches, states)

@@ -81,7 +81,8 @@ def stream_notifications(
     @contextmanager
     def rows_of(batch: DataFrame) -> Iterator[DataFrame]:
         narrow = notification_targets(batch, as_of, extra=order).select(TARGETS.names)
-        yield scd1(narrow, KEYS, SEQUENCE)
+        # Keys repeat only as often as there are batches: nothing to drop, or sort, before the shuffle.
+        yield scd1(narrow.repartition(*KEYS), KEYS, SEQUENCE)
 
     open_log(spark, journeys_root)
     return upsert_stream(stream_log(spark, journeys_root, JOURNEYS), root, rows_of, journeys_root)

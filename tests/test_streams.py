@@ -1,6 +1,8 @@
 """Streams give what the batch gives, in any order of files, and survive a batch run twice."""
 
 import random
+from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from conftest import SF, rows
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from linepulse.operators import gold
 from linepulse.operators.journeys import customer_journeys, journey_versions
+from linepulse.plans import registry
 from linepulse.scratch import make_dir, shared_dir
 from linepulse.sources import adapter
 from linepulse.sources.adapter import AS_OF
@@ -160,3 +163,44 @@ def test_streams_leave_no_staged_rows(spark, world):
     run(spark, folder, status, people, silver)
     flows.stream_notifications(spark, silver, gold_root, AS_OF).awaitTermination()
     assert set(changelog.folders(spark, place)) <= before
+
+
+def test_a_reader_reads_a_batch_once(spark, world, tmp_path):
+    folder, status, people, silver, _ = world
+    run(spark, folder, status, people, silver)
+    in_log = spark.read.schema(flows.JOURNEYS).parquet(log_path(silver)).count()
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    @contextmanager
+    def rows_of(batch):
+        yield batch.select(flows.JOURNEYS.names)
+
+    source = changelog.stream_log(spark, silver, flows.JOURNEYS).withColumn("full_name", counted("full_name"))
+    changelog.upsert_stream(source, str(tmp_path / "reader"), rows_of, reads=silver).awaitTermination()
+    assert seen.value == in_log > 0
+    assert changelog.positions(spark, silver) == [4]
+
+
+def test_rows_of_the_log_are_sorted_only_after_the_shuffle(spark, world, capsys):
+    folder, status, people, silver, _ = world
+    run(spark, folder, status, people, silver)
+    flows.current_journeys(spark, silver).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Exchange") > plan.rindex("Sort")
+    assert "Partial" not in plan
+
+
+def test_a_batch_of_many_events_has_several_files(spark, monkeypatch):
+    wanted = rows(registry.QUERIES["stream_journeys"](spark, SF))
+    monkeypatch.setattr(registry, "LANDED_ROWS", 100)
+    taken = []
+    scan = flows.scan_stream
+    monkeypatch.setattr(flows, "scan_stream", lambda *a, **k: (taken.append((len(list(Path(a[1]).glob("*.parquet"))), k)), scan(*a, **k))[1])
+    assert rows(registry.QUERIES["stream_journeys"](spark, SF)) == wanted
+    files, options = taken[0]
+    assert files == 12 and options == {"files_per_batch": 4}
