@@ -37,7 +37,7 @@ def counts(docs: DataFrame, tokenizers: dict[str, str | None]) -> DataFrame:
         for i, path in enumerate(tokenizers.values())
     ]
     # Written before they are dealt out to rows: else Spark would count once more for a filter.
-    rows = stage(docs.select("doc_id", "source", "lang", *found), "counts")
+    rows = stage(docs.select("doc_id", "source", "lang", *found), "token-counts")
     of = [F.struct(F.lit(v).alias("version"), F.col(f"count_{i}").alias("tokens")) for i, v in enumerate(tokenizers)]
     rows = rows.select("doc_id", "source", "lang", F.array(*of).alias("of"))
     return rows.select("doc_id", "source", "lang", F.explode("of").alias("of")).select(
