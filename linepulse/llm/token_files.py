@@ -22,11 +22,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -41,20 +41,24 @@ LEVEL = 3
 _SKIPPABLE = 0x184D2A5E
 _PLACES = 0x184D2A50
 _SEEKABLE = 0x8F92EAB1
-#: Pieces of texts that are kept with their ids, twice; and texts that are taken apart at a time.
+#: Pieces of texts before those kept with their ids make way, and pieces that are added at most at a time.
 _CACHED = 250_000
-_TEXTS = 128
-#: A blank before white space, where a text may not be taken apart.
-_UNSURE = re.compile(r" (?:\s|\Z)|\x00")
-#: Letters that every version of Unicode calls so, and pieces of those, digits and ASCII signs.
+#: Letters of a piece that is kept; text without blanks is one piece.
+_LONGEST = 64
+#: Bytes of texts that are taken apart at a time, and texts or pieces that are encoded whole at a time.
+_TEXTS = 1 << 23
+_WHOLE = 64
+#: Letters that every version of Unicode calls so, and signs that are none of those, digits and ASCII.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_PLAIN = re.compile(rf"[\t\n\r\x20-\x7e{_LETTERS}]*")
-#: The usual pattern of byte-level tokenizers, over those.
-_SPLIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+_ODD = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}]")
+#: The usual pattern of byte-level tokenizers, over pieces that zeros end; a zero is a word of its own.
+_SPLIT = re.compile(
+    rf"\x00|'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9\x00]+|\s+(?![^\s\x00])|\s+"
+)
 #: Byte-level vocabularies write printable bytes of Latin-1 as they are, the others from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_BLANK = chr(_BYTE_LETTERS[32])
+_BYTE_TABLE = np.array([0, *(_BYTE_LETTERS.get(b, b) for b in range(1, 256))], dtype="<u2")
 MANIFEST = "file string, part int, docs long, ids long, low long, high long"
 
 
@@ -65,34 +69,52 @@ class _Known:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, pieces: set[str], encode: Callable[[list[str]], list[bytes]]) -> None:
-        """Make sure that ``new`` has all of ``pieces``."""
+    def find(self, pieces: list[str], encode: Callable[[list[str]], list[bytes | None]]) -> pa.Array:
+        """Ids of each piece; null where ``encode`` gives None."""
         if len(self.new) > _CACHED:
             self.new, self.old = {}, self.new
-        missing = [p for p in pieces if p not in self.new]
-        fresh = [p for p in missing if p not in self.old]
-        self.new.update((p, self.old[p]) for p in missing if p in self.old)
-        self.new.update(zip(fresh, encode(fresh), strict=True))
+        found = list(map(self.new.get, pieces))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        for i in gaps:
+            found[i] = self.old.get(pieces[i])
+        fresh = [i for i in gaps if found[i] is None]
+        for i, x in zip(fresh, encode([pieces[i] for i in fresh]), strict=True):
+            found[i] = x
+        kept = (i for i in gaps[:_CACHED] if found[i] is not None and len(pieces[i]) <= _LONGEST)
+        self.new.update((pieces[i], found[i]) for i in kept)
+        return pa.array(found, pa.large_binary())
+
+
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _joined(ids: pa.Array, ends: np.ndarray) -> list[bytes]:
+    """The ids of pieces, put together: those from each end to the next one."""
+    at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset)[ends].tolist()
+    data = memoryview(ids.buffers()[2] or b"")
+    return [bytes(data[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
 
 #: A worker keeps a tokenizer and its pieces from task to task.
-_ENCODERS: dict[str, tuple[Callable[[list[str | None]], list[bytes]], int]] = {}
+_ENCODERS: dict[str, tuple[Callable[[list[str | None] | pa.Array], list[bytes]], int]] = {}
 
 
-def encoder(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
+def encoder(path: str) -> tuple[Callable[[list[str | None] | pa.Array], list[bytes]], int]:
     """A function that encodes texts to bytes of ids, and the bytes of an id.
 
     A byte-level tokenizer that splits by its usual pattern never joins a blank that a letter
-    follows with what stands before it. So texts are taken apart at those blanks, and a piece
-    that was met before is not encoded again; of new ones the words are looked up likewise. Texts
-    with special tokens, and all texts of other tokenizers, are encoded whole.
+    follows with what stands before it. So texts are taken apart at blanks, many at a time, and
+    each piece is looked up once; one that was met before is not encoded again, and of new ones the
+    words are looked up likewise. Texts with special tokens or white space behind a blank, and all
+    texts of other tokenizers, are encoded whole.
     """
     if path not in _ENCODERS:
         _ENCODERS[path] = _load(path)
     return _ENCODERS[path]
 
 
-def _load(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
+def _load(path: str) -> tuple[Callable[[list[str | None] | pa.Array], list[bytes]], int]:
     # Spark runs a worker for each core; threads of their own would only contend.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -113,51 +135,81 @@ def _load(path: str) -> tuple[Callable[[list[str | None]], list[bytes]], int]:
         and not setup["model"].get("dropout")
     )
     special = [t["content"] for t in setup["added_tokens"]]
+    apart = apart and not any(" " in s for s in special)
+    unsure = re.compile("|".join([r" (?:\s|\Z)", *map(re.escape, special)])).search
     known, words = _Known(), _Known()
     model = tokenizer.model
 
     def whole(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=kind).tobytes() for x in found]
+        out: list[bytes] = []
+        for i in range(0, len(texts), _WHOLE):
+            found = tokenizer.encode_batch_fast(texts[i : i + _WHOLE], add_special_tokens=False)
+            out += [np.array(x.ids, dtype=kind).tobytes() for x in found]
+        return out
 
     bytes_of = [i.to_bytes(width, "little") for i in range(tokenizer.get_vocab_size())]
 
-    def word(x: str) -> bytes:
-        x = x.replace(" ", _BLANK) if x.isascii() and x.isprintable() else x.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return b"".join([bytes_of[t.id] for t in model.tokenize(x)])
-
-    def new_pieces(pieces: list[str]) -> list[bytes]:
-        """Plain pieces go to the model word by word, others through the whole tokenizer."""
-        split = [_SPLIT.findall(p) if _PLAIN.fullmatch(p) else None for p in pieces]
-        words.learn(set(chain.from_iterable(filter(None, split))), lambda xs: [word(x) for x in xs])
-        ids = words.new
-        rest = iter(whole([p for p, xs in zip(pieces, split, strict=True) if xs is None]))
-        return [next(rest) if xs is None else b"".join([ids[x] for x in xs]) for xs in split]
-
-    def some(texts: list[str | None]) -> list[bytes]:
-        out: list[list[bytes | None]] = []
-        gaps: list[tuple[list[bytes | None], int, str]] = []
-        for text in texts:
-            text = text or ""
-            if not apart or _UNSURE.search(text) or any(s in text for s in special):
-                out.append(whole([text]))
-                continue
-            pieces = text.replace(" ", "\0 ").split("\0")
-            found = list(map(known.new.get, pieces))
-            at = -1
-            for _ in range(found.count(None)):
-                at = found.index(None, at + 1)
-                gaps.append((found, at, pieces[at]))
-            out.append(found)
-        known.learn({p for _, _, p in gaps}, new_pieces)
-        for found, at, piece in gaps:
-            found[at] = known.new[piece]
-        return [b"".join(x) for x in out]
-
-    def encode(texts: list[str | None]) -> list[bytes]:
+    def new_words(found: list[str]) -> list[bytes]:
+        raw = "\0".join(found).encode()
+        letters = _BYTE_TABLE[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le").split("\0") if found else []
+        return [b"".join([bytes_of[t.id] for t in model.tokenize(x)]) for x in letters]
+
+    def plain(pieces: list[str]) -> list[bytes]:
+        """Pieces of plain letters go to the model word by word."""
+        if not pieces:
+            return []
+        split = pa.array(_SPLIT.findall("\0".join([*pieces, ""])), pa.large_string())
+        coded = split.dictionary_encode()
+        distinct = _strings(coded.dictionary)
+        zero = distinct.index("\0")
+        distinct[zero] = ""
+        ends = np.flatnonzero(coded.indices.to_numpy() == zero)
+        return _joined(words.find(distinct, new_words).take(coded.indices), np.append(0, ends))
+
+    def new_pieces(pieces: list[str]) -> list[bytes | None]:
+        """None where white space follows a blank, or a special token is in the piece."""
+        out: list[bytes | None] = [None] * len(pieces)
+        even: list[int] = []
+        odd: list[int] = []
+        for i, p in enumerate(pieces):
+            if not unsure(p):
+                (odd if _ODD.search(p) else even).append(i)
+        for some, how in ((even, plain), (odd, whole)):
+            for i, x in zip(some, how([pieces[i] for i in some]), strict=True):
+                out[i] = x
+        return out
+
+    def some(texts: pa.Array) -> list[bytes]:
+        if not apart:
+            return whole(_strings(texts))
+        split = pc.split_pattern(texts, " ")
+        ends = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        # Each piece has its blank, but the first of a text.
+        pieces = [f" {p}" for p in _strings(coded.dictionary)]
+        codes = coded.indices.to_numpy().copy()
+        first = codes[ends[:-1]]
+        codes[ends[:-1]] = len(pieces) + np.arange(len(first))
+        pieces += [pieces[i][1:] for i in first.tolist()]
+        ids = known.find(pieces, new_pieces)
+        out = _joined(ids.take(pa.array(codes)), ends)
+        if ids.null_count:
+            null = np.add.reduceat(ids.is_null().to_numpy(zero_copy_only=False)[codes], ends[:-1], dtype=np.int64)
+            rows = np.flatnonzero(null)
+            for i, x in zip(rows.tolist(), whole(_strings(texts.take(pa.array(rows)))), strict=True):
+                out[i] = x
+        return out
+
+    def encode(texts: list[str | None] | pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), "")
+        texts = texts.cast(pa.large_string())
         out: list[bytes] = []
-        for i in range(0, len(texts), _TEXTS):
-            out += some(texts[i : i + _TEXTS])
+        size = pc.binary_length(texts).to_numpy().cumsum()
+        while len(out) < len(texts):
+            # Texts of some bytes, one at least.
+            at = len(out)
+            most = _TEXTS + (size[at - 1] if at else 0)
+            out += some(texts.slice(at, max(1, int(np.searchsorted(size, most, side="right")) - at)))
         return out
 
     return encode, width
@@ -292,8 +344,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, files: int | None = None
         writer = out = None
         name = temporary = ""
         for batch in batches:
-            parts, doc_ids, texts = (c.to_pylist() for c in batch.columns)
-            for part, doc_id, x in zip(parts, doc_ids, encode(texts), strict=True):
+            parts, doc_ids = (c.to_pylist() for c in batch.columns[:2])
+            for part, doc_id, x in zip(parts, doc_ids, encode(batch.column(2)), strict=True):
                 if writer is None:
                     number, name = part, f"part-{part:06d}.zst"
                     temporary = f"{root}/.{name}-{uuid.uuid4().hex}"

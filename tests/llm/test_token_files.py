@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -28,6 +29,33 @@ def test_taken_apart_is_encoded_like_whole(parts):
     assert ids == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_a_piece_of_many_texts_is_looked_up_once(monkeypatch):
+    asked = []
+    find = token_files._Known.find
+    monkeypatch.setattr(token_files._Known, "find", lambda self, pieces, how: asked.append(len(pieces)) or find(self, pieces, how))
+    texts = [" ".join(f"wordy{(i + j) % 20}" for j in range(500)) for i in range(40)]
+    got = [np.frombuffer(x, "<u2").tolist() for x in encode(pa.array(texts))]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    # 20 pieces with their blanks, the first one of each text; the words of new ones; 20,000 pieces in all.
+    assert sum(asked) <= 20 + 40 + 80
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 23])
+def test_texts_of_several_slices(monkeypatch, size):
+    monkeypatch.setattr(token_files, "_TEXTS", size)
+    monkeypatch.setattr(token_files, "_CACHED", 3)
+    texts = ["left out", " two  blanks", None, "", "a b", "x <|endoftext|> y", "\0 \0", " ", "Été 日本 don't", "end\n\n", "a b a\n b", "x" * 50]
+    texts = [*texts, *texts[::-1]]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    fresh, _ = token_files._load(BPE)
+    assert fresh([""]) == [b""]
+    for kind in (pa.string(), pa.large_string()):
+        got = fresh(pa.array(texts, kind).slice(1))
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == want[1:]
+    assert fresh([]) == []
+    assert [np.frombuffer(x, "<u2").tolist() for x in fresh(texts)] == want
+
+
 ROWS = [
     (7, "some text"), (3, ""), (3, None), (None, "no id"), (12, "word " * 30_000), (5, "ünïcode 😀"),
     (12, "twice"), (12, "twice"), (-4, "negative id"),
