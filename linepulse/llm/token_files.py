@@ -46,7 +46,7 @@ _CACHED = 250_000
 #: Letters of a piece that is kept; text without blanks is one piece.
 _LONGEST = 64
 #: Bytes of texts that are taken apart at a time, and texts or pieces that are encoded whole at a time.
-_TEXTS = 1 << 23
+_TEXTS = 1 << 22
 _WHOLE = 64
 #: Letters that every version of Unicode calls so, and signs that are none of those, digits and ASCII.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
